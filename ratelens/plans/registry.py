@@ -46,5 +46,6 @@ def load_all() -> dict[str, Entry]:
     # import for side effects: each module registers its queries
     from . import (  # noqa: F401
         churn_queries,
+        source_queries,
     )
     return QUERIES
