@@ -99,13 +99,13 @@ def median_impute(df: DataFrame, col: str) -> DataFrame:
 def standardise(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """(x - mean) / population std per column; constant column -> 0.
 
-    One global aggregate (a single row) is joined back as a broadcast.
+    The means and stds are one scalar subquery (a single struct), not a join.
     """
-    stats = df.agg(*[F.avg(c).alias(f"_m_{c}") for c in cols],
-                   *[F.stddev_pop(c).alias(f"_s_{c}") for c in cols])
-    j = df.crossJoin(F.broadcast(stats))
+    st = df.select(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                            *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)])).scalar()
     out = [F.col(k) for k in keep]
-    for c in cols:
-        z = F.try_divide(F.col(c) - F.col(f"_m_{c}"), F.col(f"_s_{c}"))
-        out.append(F.when(F.col(f"_s_{c}") == 0, F.lit(0.0)).otherwise(F.coalesce(z, F.lit(0.0))).alias(c))
-    return j.select(*out)
+    for i, c in enumerate(cols):
+        m, s = st.getField(f"m{i}"), st.getField(f"s{i}")
+        z = F.try_divide(F.col(c) - m, s)
+        out.append(F.when(s == 0, F.lit(0.0)).otherwise(F.coalesce(z, F.lit(0.0))).alias(c))
+    return df.select(*out)

@@ -159,14 +159,13 @@ def exact_percentiles(df: DataFrame, col: str, qs: Sequence[float],
     Output: one row per group with ``{prefix}{int(q*100)}`` columns.
     """
     by = list(by)
+    glob = not by
+    if glob:  # one implicit group
+        df, by = df.withColumn("_all", F.lit(0)), ["_all"]
     vc = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
     cum = running_sum(vc, [(c, True) for c in by] + [(col, True)], weight="_n", out="_cb")
-    if by:
-        g = cum.groupBy(*by).agg(F.min("_cb").alias("_gs"), F.sum("_n").alias("_gn"))
-        cum = cum.join(g, by)
-    else:
-        g = cum.agg(F.lit(0).cast("bigint").alias("_gs"), F.sum("_n").alias("_gn"))
-        cum = cum.crossJoin(F.broadcast(g))  # one row
+    g = cum.groupBy(*by).agg(F.min("_cb").alias("_gs"), F.sum("_n").alias("_gn"))
+    cum = cum.join(g, by)
     lo_r = F.col("_cb") - F.col("_gs")  # rank (0-based) of this value's first copy
     hi_r = lo_r + F.col("_n")
     aggs = []
@@ -184,4 +183,5 @@ def exact_percentiles(df: DataFrame, col: str, qs: Sequence[float],
         lo_v, hi_v, fr = (F.col(f"_{tag}_lo").cast("double"), F.col(f"_{tag}_hi").cast("double"),
                           F.col(f"_{tag}_f"))
         outs.append((lo_v + (hi_v - lo_v) * fr).alias(tag))
-    return res.select(*by, *outs)
+    res = res.select(*by, *outs)
+    return res.drop("_all") if glob else res

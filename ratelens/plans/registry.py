@@ -47,5 +47,7 @@ def load_all() -> dict[str, Entry]:
     from . import (  # noqa: F401
         churn_queries,
         source_queries,
+        eda_queries,
+        rfm_queries,
     )
     return QUERIES
