@@ -49,5 +49,6 @@ def load_all() -> dict[str, Entry]:
         source_queries,
         eda_queries,
         rfm_queries,
+        recommend_queries,
     )
     return QUERIES
