@@ -60,7 +60,7 @@ def g1_skewness(c: Column, n: Column) -> Column:
     population g1 that Spark's ``skewness`` returns; 0 for n < 3 or constant."""
     nd = n.cast("double")
     g = F.skewness(c) * F.sqrt(nd * (nd - 1)) / (nd - 2)
-    return F.when(n >= 3, F.coalesce(g, F.lit(0.0))).otherwise(F.lit(0.0))
+    return F.when((n >= 3) & (F.stddev_pop(c) > 0), F.coalesce(g, F.lit(0.0))).otherwise(F.lit(0.0))
 
 
 def movie_features(ratings: DataFrame, year_col: str = "year_of_release",

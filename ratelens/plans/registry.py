@@ -50,5 +50,6 @@ def load_all() -> dict[str, Entry]:
         eda_queries,
         rfm_queries,
         recommend_queries,
+        cluster_queries,
     )
     return QUERIES
