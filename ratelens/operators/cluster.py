@@ -11,7 +11,7 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from typing import Sequence
 
-from pyspark.ml.clustering import BisectingKMeans, KMeans
+from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
@@ -121,8 +121,30 @@ def best_k(sweep: DataFrame) -> int:
     return int(r["k"])
 
 
-def bisecting(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, out: str = "cluster_hierarchical"):
-    """C12 (re-aimed): divisive hierarchy by bisecting k-means, cut at k."""
-    x = assemble(df, cols)
-    model = BisectingKMeans(k=k, seed=seed, featuresCol="features", predictionCol=out).fit(x)
-    return model.transform(x).drop("features")
+def bisecting(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, out: str = "cluster_hierarchical",
+              n_init: int = 3) -> DataFrame:
+    """C12 (re-aimed): divisive hierarchy cut at k clusters.
+
+    Start with one cluster; k-1 times split the cluster with the largest
+    within-cluster sum of squares by a 2-means fit over its members only.
+    New ids are assigned in split order.  (Spark's BisectingKMeans leaves
+    empty leaves on some inputs, so the loop is explicit.)  Labels are
+    checkpointed after each split.
+    """
+    from ..session import cut_lineage
+    lab = cut_lineage(df.withColumn(out, F.lit(0)))
+    for new_id in range(1, k):
+        sse = lab.groupBy(out).agg(
+            F.count(F.lit(1)).alias("_n"),
+            sum((F.sum(F.col(c) ** 2) - F.sum(c) ** 2 / F.count(F.lit(1))) for c in cols).alias("_sse"))
+        top = sse.filter(F.col("_n") >= 2).orderBy(F.desc("_sse"), F.asc(out)).first()
+        if top is None:
+            break
+        victim = top[out]
+        members = lab.filter(F.col(out) == victim)
+        model, _ = fit_kmeans(members, cols, 2, seed, n_init)
+        cents = centroids_of(model)
+        side = assign(lab, cols, cents, out="_side")
+        lab = cut_lineage(side.withColumn(out, F.when((F.col(out) == victim) & (F.col("_side") == 1),
+                                                      F.lit(new_id)).otherwise(F.col(out))).drop("_side"))
+    return lab
