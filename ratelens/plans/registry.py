@@ -51,5 +51,6 @@ def load_all() -> dict[str, Entry]:
         rfm_queries,
         recommend_queries,
         cluster_queries,
+        ml_queries,
     )
     return QUERIES
