@@ -117,19 +117,21 @@ SECTION_SPAN = 1 << 32
 def rating_section_lines(ratings: DataFrame, split_every: int = 97) -> DataFrame:
     """One ``mv_<id>.txt`` per item: ``<id>:`` then ``cust,rating,date`` lines.
 
-    Splits (``block``) cut files every ``split_every`` positions, mid-section,
-    so header carry-in across splits is exercised.  About 5 % of rows also
+    Every tenth file is cut into splits (``block``) every ``split_every``
+    positions, mid-section, so header carry-in across splits is exercised.  About 5 % of rows also
     emit a malformed twin line that must be skipped.
     """
     file = F.concat(F.lit("mv_"), F.lpad(F.col(MOVIE).cast("string"), 7, "0"), F.lit(".txt"))
     pos = F.col(CUSTOMER) + 1
+    # real splits hold many lines: only every tenth file is cut finely
+    block = F.when(F.col(MOVIE) % 10 == 0, (pos / split_every).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     data = ratings.select(
-        file.alias("file"), (pos / split_every).cast("bigint").alias("block"), (pos * 4).alias("pos"),
+        file.alias("file"), block.alias("block"), (pos * 4).alias("pos"),
         F.concat_ws(",", F.col(CUSTOMER).cast("string"), F.col(RATING).cast("string"),
                     F.col(DATE).cast("string")).alias("value"))
     h = _h(CUSTOMER, MOVIE, DATE, RATING)
     bad = ratings.filter(F.substring(h, 1, 2) < "0d").select(
-        file.alias("file"), (pos / split_every).cast("bigint").alias("block"), (pos * 4 + 1).alias("pos"),
+        file.alias("file"), block.alias("block"), (pos * 4 + 1).alias("pos"),
         _bad_variant(F.conv(F.substring(h, 3, 1), 16, 10).cast("int") % 4).alias("value"))
     heads = ratings.select(MOVIE).distinct().select(
         file.alias("file"), F.lit(0).cast("bigint").alias("block"), F.lit(0).cast("bigint").alias("pos"),

@@ -83,7 +83,7 @@ def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
     if n_rows is None:
         n_rows = df.count()
     n_buckets = max(1, min(max_buckets, math.ceil(n_rows / rows_per_bucket)))
-    pts = _split_points(df, order, n_rows, n_buckets, seed)
+    pts = _split_points(df, order, n_rows, n_buckets, seed) if n_buckets > 1 else []
     b = F.lit(0)
     for p in pts:
         b = b + _at_or_after(order, p).cast("int")
@@ -96,6 +96,9 @@ def running_sum(df: DataFrame, order, weight: str | None = None, out: str = "cum
     strictly before this one in ``order``.  ``order`` must be a unique key."""
     order = _norm(order)
     w = F.col(weight) if weight else F.lit(1)
+    if not df.is_cached:
+        # read three times (count, split-point sample, ranking): compute once
+        df = df.persist()
     bk = bucketize(df, order, n_rows=n_rows, seed=seed, **kw)
     totals = bk.groupBy("_bkt").agg(F.sum(w).alias("_w"))
     # At most MAX_BUCKETS rows: prefix sum in one tiny task, then broadcast.

@@ -77,7 +77,8 @@ def pipeline(spark, sf_dir, method: str = "auto") -> SimpleNamespace:
     ns.bias_pred = ns.model.predict(ns.probe_rows)
     ns.top = top_items(ns.train, TOP_ITEMS)
     ns.pop = popular_item_ratings(ns.train, TOP_ITEMS)
-    ns.res = residuals(ns.pop, ns.model.predict(ns.pop))
+    # read by the cosine self-join (twice), the item count and the KNN join
+    ns.res = residuals(ns.pop, ns.model.predict(ns.pop)).persist()
 
     def _sim():
         return item_cosine(ns.res, method)

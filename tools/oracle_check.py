@@ -86,9 +86,13 @@ def main(argv):
     con = duck(sf_dir)
     entries = load_all()
     bad = 0
+    sql_only = "--sql-only" in keys
+    keys = [k for k in keys if not k.startswith("--")]
     for k, e in entries.items():
         if keys and k not in keys:
             continue
+        if sql_only and not e.sql:
+            continue
         try:
             r = compare(spark, con, k, e, sf_dir)
         except Exception as ex:  # report and go on
