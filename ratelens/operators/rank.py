@@ -73,10 +73,12 @@ def _split_points(df: DataFrame, order, n_rows: int, n_buckets: int, seed: int)
 
 
 def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
-              rows_per_bucket: int = ROWS_PER_BUCKET, max_buckets: int = MAX_BUCKETS,
+              rows_per_bucket: int | None = None, max_buckets: int | None = None,
               bucket_col: str = "_bkt") -> DataFrame:
     """Add a range id that is monotone in ``order`` and balanced."""
     order = _norm(order)
+    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
+    max_buckets = max_buckets or MAX_BUCKETS
     for c, asc in order:
         if not asc and dict(df.dtypes)[c] not in ("int", "bigint", "double", "float", "smallint", "tinyint"):
             raise ValueError(f"descending order needs a numeric column: {c}")
