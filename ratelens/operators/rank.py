@@ -72,10 +72,8 @@ def _split_points(df: DataFrame, order, n_rows: int, n_buckets: int, seed: int)
     return pts
 
 
-def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
-              rows_per_bucket: int | None = None, max_buckets: int | None = None,
-              bucket_col: str = "_bkt") -> DataFrame:
-    """Add a range id that is monotone in ``order`` and balanced."""
+def _bucketize(df: DataFrame, order, n_rows, seed, rows_per_bucket, max_buckets,
+               bucket_col) -> tuple[DataFrame, int]:
     order = _norm(order)
     rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
     max_buckets = max_buckets or MAX_BUCKETS
@@ -89,7 +87,14 @@ def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
     b = F.lit(0)
     for p in pts:
         b = b + _at_or_after(order, p).cast("int")
-    return df.withColumn(bucket_col, b)
+    return df.withColumn(bucket_col, b), len(pts) + 1
+
+
+def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
+              rows_per_bucket: int | None = None, max_buckets: int | None = None,
+              bucket_col: str = "_bkt") -> DataFrame:
+    """Add a range id that is monotone in ``order`` and balanced."""
+    return _bucketize(df, order, n_rows, seed, rows_per_bucket, max_buckets, bucket_col)[0]
 
 
 def running_sum(df: DataFrame, order, weight: str | None = None, out: str = "cum_before",
@@ -101,7 +106,14 @@ def running_sum(df: DataFrame, order, weight: str | None = None, out: str = "cum
     if not df.is_cached:
         # read three times (count, split-point sample, ranking): compute once
         df = df.persist()
-    bk = bucketize(df, order, n_rows=n_rows, seed=seed, **kw)
+    bk, n_ranges = _bucketize(df, order, n_rows, seed, kw.get("rows_per_bucket"), kw.get("max_buckets"), "_bkt")
+    local = F.sum(w).over(
+        Window.partitionBy("_bkt").orderBy(*_sort_cols(order))
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    if n_ranges == 1:
+        # one range (<= ROWS_PER_BUCKET rows): no offsets to add
+        return (bk.withColumn(out, F.coalesce(local, F.lit(0)).cast("bigint")).drop("_bkt"))
     totals = bk.groupBy("_bkt").agg(F.sum(w).alias("_w"))
     # At most MAX_BUCKETS rows: prefix sum in one tiny task, then broadcast.
     offsets = totals.select(
@@ -111,10 +123,6 @@ def running_sum(df: DataFrame, order, weight: str | None = None, out: str = "cum
             F.lit(0),
         ).alias("_off"),
     )
-    local = F.sum(w).over(
-        Window.partitionBy("_bkt").orderBy(*_sort_cols(order))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
     return (
         bk.withColumn("_loc", F.coalesce(local, F.lit(0)))
         .join(F.broadcast(offsets), "_bkt")

@@ -22,9 +22,10 @@ def _plan(df) -> str:
 
 
 @pytest.mark.parametrize("key", sorted(k for k, e in ENTRIES.items() if e.sql))
-def test_no_python_udf(spark, key):
+def test_no_python_udf_no_cross_join(spark, key):
     p = _plan(ENTRIES[key].build(spark, SF001))
     assert "BatchEvalPython" not in p and "ArrowEvalPython" not in p
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
     if key not in ARROW_KEYS:
         assert "MapInPandas" not in p and "PythonUDF" not in p
 
