@@ -45,7 +45,7 @@ def explained_variance(df: DataFrame, cols: Sequence[str], k: int) -> list[float
 
 
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, n_init: int = 10,
-               max_iter: int = 300, parallelism: int = 4):
+               max_iter: int = 300, parallelism: int = 8):
     """Best-of-n_init k-means by training cost (inertia).  Restarts run
     as concurrent Spark jobs over one cached feature table."""
     x = assemble(df, cols).select("features").cache()
