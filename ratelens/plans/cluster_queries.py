@@ -312,3 +312,19 @@ def q_algorithm_comparison(spark, sf_dir):
         s = silhouette(pts, MOVIE_FEATURES, "cluster", MOVIE) if n_cl > 1 else None
         rows.append((method, int(n_cl), None if s is None else round(s, 4)))
     return spark.createDataFrame(rows, "method string, n_clusters int, silhouette double")
+
+
+@query("user_display_points")
+def q_user_display_points(spark, sf_dir):
+    """2-D display coordinates (PCA-2 of the scaled user features) with
+    each user's cluster and name (the data behind the scatter plot)."""
+    named, us, _ = user_clusters_df(spark, sf_dir)
+    p2 = pca(us, USER_COLS, 2, keep=[CUSTOMER])
+    return p2.join(named.select(CUSTOMER, "cluster", "cluster_name"), CUSTOMER)
+
+
+@query("dbscan_users")
+def q_dbscan_users(spark, sf_dir):
+    """C13 (users): DBSCAN eps 1.5, min_samples 5 on the PCA-3 user
+    coordinates -- every user, where the reference takes a 50,000 sample."""
+    return dbscan(_user_pca3(spark, sf_dir), CUSTOMER, ["pc1", "pc2", "pc3"], 1.5, 5)

@@ -71,8 +71,9 @@ def pipeline(spark, sf_dir, method: str = "auto") -> SimpleNamespace:
     v = views(spark, sf_dir)
     ratings, probe = v.ratings, v.probe
     ns = SimpleNamespace()
-    ns.probe_rows = probe_with_ratings(ratings, probe)
-    ns.train = train_split(ratings, probe)
+    # the split is written once and read by every later stage (as the job does)
+    ns.probe_rows = probe_with_ratings(ratings, probe).persist()
+    ns.train = train_split(ratings, probe).persist()
     ns.model = fit_bias(ns.train)
     ns.bias_pred = ns.model.predict(ns.probe_rows)
     ns.top = top_items(ns.train, TOP_ITEMS)
