@@ -11,7 +11,7 @@ user x item residual matrix:
   cells, which a ``groupBy`` sums -- cost partitions x n^2, independent of
   heavy users.  Items are the top-n popular ones, so n is a parameter bound.
 
-``auto`` picks by the measured pair count.
+``auto`` picks the Gramian path for a bounded item set.
 """
 
 from __future__ import annotations
@@ -26,7 +26,8 @@ from ..schemas import CUSTOMER, MOVIE
 from .rank import global_row_number
 
 NBR = "neighbour_id"
-PAIR_LIMIT = 200_000_000
+GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most
+FOLD_ENTRIES = 5_000_000      # residual entries per Gramian fold task
 
 
 def item_codes(res: DataFrame) -> DataFrame:
@@ -43,21 +44,48 @@ def _dots_pairs(res: DataFrame) -> DataFrame:
             .groupBy(MOVIE, NBR).agg(F.sum(F.col("_a") * F.col("_b")).alias("dot")))
 
 
-def _gramian_blocks(n: int, batch_users: int = 2048):
-    """Per task: G += B^T B over batches of whole users (rows arrive sorted
-    by user; the last user of an Arrow batch is carried into the next)."""
-    def add(g, pdf):
-        users = pd.factorize(pdf["customer_id"])[0]
-        codes = pdf["item_code"].to_numpy()
+HEAVY_DEGREE = 256  # users with more entries go through the dense product
+
+
+def _gramian_blocks(n: int, batch_users: int = 1024):
+    """Per task: G += B^T B (residual dot products) and C += I^T I (co-rating
+    counts) over whole users, rows arriving sorted by user (the last user of
+    an Arrow batch is carried into the next).  Light users add their d^2
+    cells with one vectorised ``bincount``; heavy users (d > HEAVY_DEGREE) go
+    through a dense BLAS product.  Emits the co-rated cells (C > 0)."""
+    def add(g, cnt, pdf):
+        users = pd.factorize(pdf["customer_id"])[0]  # sorted input: ascending
+        codes = pdf["item_code"].to_numpy().astype(np.int64)
         vals = pdf["residual"].to_numpy(dtype=np.float64)
-        for start in range(0, users.max() + 1, batch_users):
-            m = (users >= start) & (users < start + batch_users)
-            dense = np.zeros((batch_users, n))
-            np.add.at(dense, (users[m] - start, codes[m]), vals[m])
+        deg = np.bincount(users)
+        heavy_u = deg > HEAVY_DEGREE
+        light = ~heavy_u[users]
+        if light.any():
+            lu, lc, lv = users[light], codes[light], vals[light]
+            ldeg = deg[lu]
+            first = np.searchsorted(lu, lu)  # start of each entry's user run
+            left = np.repeat(np.arange(len(lu)), ldeg)
+            offs = np.arange(len(left)) - np.repeat(np.cumsum(ldeg) - ldeg, ldeg)
+            right = np.repeat(first, ldeg) + offs
+            cell = lc[left] * n + lc[right]
+            g += np.bincount(cell, weights=lv[left] * lv[right], minlength=n * n).reshape(n, n)
+            cnt += np.bincount(cell, minlength=n * n).reshape(n, n)
+        hu = np.nonzero(heavy_u)[0]
+        for start in range(0, len(hu), batch_users):
+            block = hu[start:start + batch_users]
+            pos = np.full(len(deg), -1)
+            pos[block] = np.arange(len(block))
+            m = pos[users] >= 0
+            dense = np.zeros((len(block), n))
+            mark = np.zeros((len(block), n))
+            np.add.at(dense, (pos[users[m]], codes[m]), vals[m])
+            mark[pos[users[m]], codes[m]] = 1.0
             g += dense.T @ dense
+            cnt += mark.T @ mark
 
     def fold(it):
         g = np.zeros((n, n), dtype=np.float64)
+        cnt = np.zeros((n, n), dtype=np.float64)
         carry = None
         for pdf in it:
             if pdf.empty:
@@ -68,18 +96,21 @@ def _gramian_blocks(n: int, batch_users: int = 2048):
             tail = pdf["customer_id"] == last
             carry = pdf[tail]
             if (~tail).any():
-                add(g, pdf[~tail])
+                add(g, cnt, pdf[~tail].reset_index(drop=True))
         if carry is not None and not carry.empty:
-            add(g, carry)
-        i, j = np.nonzero(g)
+            add(g, cnt, carry.reset_index(drop=True))
+        i, j = np.nonzero(cnt)
         yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "dot": g[i, j]})
     return fold
 
 
-def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int) -> DataFrame:
-    coded = res.join(codes, MOVIE).select(CUSTOMER, "item_code", "residual")
-    # all of a user's entries in one task; a user has at most n_items entries
-    per_user = coded.repartition(CUSTOMER).sortWithinPartitions(CUSTOMER)
+def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int, n_entries: int) -> DataFrame:
+    coded = res.join(F.broadcast(codes), MOVIE).select(CUSTOMER, "item_code", "residual")
+    # all of a user's entries in one task (a user has at most n_items entries);
+    # few fold tasks, so the shuffle of partial blocks stays tasks x n^2 cells
+    parts = int(res.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_fold = max(1, min(parts, -(-n_entries // FOLD_ENTRIES)))
+    per_user = coded.repartition(n_fold, CUSTOMER).sortWithinPartitions(CUSTOMER)
     blocks = per_user.mapInPandas(_gramian_blocks(n_items), "i int, j int, dot double")
     summed = blocks.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
     ci = codes.select(F.col("item_code").alias("i"), F.col(MOVIE))
@@ -89,19 +120,25 @@ def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int) -> DataFrame:
 
 def item_cosine(res: DataFrame, method: str = "auto") -> DataFrame:
     """M6: cosine of item residual vectors for co-rated pairs (absent = 0),
-    self pairs included.  Zero-norm items get similarity 0."""
-    if method == "auto":
-        deg = res.groupBy(CUSTOMER).agg(F.count(F.lit(1)).alias("d"))
-        pairs = deg.agg(F.sum(F.col("d") * F.col("d"))).first()[0] or 0
-        method = "pairs" if pairs <= PAIR_LIMIT else "gramian"
+    self pairs included.  Zero-norm items get similarity 0.
+
+    ``auto`` uses the Gramian path whenever the item set is at most
+    GRAMIAN_MAX_ITEMS (the popular-item list is 1,000 by construction), so
+    no per-user pair rows are ever emitted; larger item sets fall back to
+    the self-join.
+    """
+    if method not in ("auto", "pairs", "gramian"):
+        raise ValueError(method)
+    codes = None
+    if method in ("auto", "gramian"):
+        codes = item_codes(res).persist()  # bounded: one row per item
+        n_items = codes.count()
+        if method == "auto":
+            method = "gramian" if n_items <= GRAMIAN_MAX_ITEMS else "pairs"
     if method == "pairs":
         dots = _dots_pairs(res)
-    elif method == "gramian":
-        codes = item_codes(res)
-        n_items = codes.count()
-        dots = _dots_gramian(res, codes, n_items)
     else:
-        raise ValueError(method)
+        dots = _dots_gramian(res, codes, n_items, res.count())
     norms = (dots.filter(F.col(MOVIE) == F.col(NBR))
              .select(MOVIE, F.sqrt("dot").alias("_ni")))
     nn = norms.select(F.col(MOVIE).alias(NBR), F.col("_ni").alias("_nj"))

@@ -96,3 +96,19 @@ def test_pairs_and_gramian_paths_agree(spark):
     b = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "gramian").collect()}
     assert set(a) == set(b)
     assert all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+def test_gramian_heavy_and_light_users(spark):
+    """Heavy users (dense product) and light users (bincount) together."""
+    from ratelens.operators import similarity
+    rnd = random.Random(9)
+    res = [(u, i, rnd.uniform(-1, 1)) for u in range(40) for i in rnd.sample(range(80), 70 if u < 5 else 4)]
+    rdf = spark.createDataFrame(res, "customer_id long, movie_id long, residual double")
+    old = similarity.HEAVY_DEGREE
+    similarity.HEAVY_DEGREE = 20
+    try:
+        b = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "gramian").collect()}
+    finally:
+        similarity.HEAVY_DEGREE = old
+    a = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "pairs").collect()}
+    assert set(a) == set(b) and all(abs(a[k] - b[k]) < 1e-9 for k in a)
