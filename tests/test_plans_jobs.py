@@ -14,7 +14,8 @@ from ratelens.sources import tables
 
 ENTRIES = load_all()
 # keys that legitimately run NumPy inside Arrow batches (mapInPandas)
-ARROW_KEYS = {"item_cosine_gramian", "silhouette_euclidean"}
+ARROW_KEYS = {"item_cosine", "item_cosine_gramian", "item_topk", "knn_residual", "hybrid_predictions",
+              "hybrid_rmse", "model_ladder", "silhouette_euclidean"}
 
 
 def _plan(df) -> str:
