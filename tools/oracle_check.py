@@ -69,6 +69,14 @@ def compare(spark, con, key, entry, sf_dir):
     res["schema"] = sorted(scols) == sorted(dcols)
     if not res["schema"]:
         res["cols"] = (sorted(scols), sorted(dcols))
+    # logical types: Spark simple type vs DuckDB column type
+    dtypes = {d[0]: str(d[1]).upper() for d in cur.description}
+    want = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+            "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT"}
+    bad_types = {c: (t, dtypes.get(c)) for c, t in sdf.dtypes
+                 if c in dtypes and want.get(t, t.upper()) != dtypes[c]}
+    if bad_types:
+        res["types"] = bad_types
     a, b = rows_of(scols, srows), rows_of(dcols, drows)
     res["values"] = a == b
     if not res["values"]:
@@ -97,7 +105,7 @@ def main(argv):
             r = compare(spark, con, k, e, sf_dir)
         except Exception as ex:  # report and go on
             r = {"key": k, "error": f"{type(ex).__name__}: {str(ex)[:400]}"}
-        ok = r.get("check") == "rows-only" or (r.get("schema") and r.get("values"))
+        ok = r.get("check") == "rows-only" or (r.get("schema") and r.get("values") and "types" not in r)
         bad += 0 if ok else 1
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print(f"done: {bad} bad")
