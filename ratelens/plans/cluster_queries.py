@@ -225,12 +225,12 @@ def q_dbscan_core(spark, sf_dir):
     return core_points(movie_scaled_df(spark, sf_dir), MOVIE, MOVIE_FEATURES, eps, m).withColumnRenamed("id", MOVIE)
 
 
-@query("dbscan_items", _db_sql("SELECT movie_id, n_neighbours, is_core, cluster FROM db", *DBSCAN_WIDE))
+@query("dbscan_items", _db_sql("SELECT movie_id, is_core, cluster FROM db", *DBSCAN_WIDE))
 def q_dbscan_items(spark, sf_dir):
     return _dbscan_df(spark, sf_dir, *DBSCAN_WIDE)
 
 
-@query("dbscan_items_narrow", _db_sql("SELECT movie_id, n_neighbours, is_core, cluster FROM db", *DBSCAN_NARROW))
+@query("dbscan_items_narrow", _db_sql("SELECT movie_id, is_core, cluster FROM db", *DBSCAN_NARROW))
 def q_dbscan_items_narrow(spark, sf_dir):
     return _dbscan_df(spark, sf_dir, *DBSCAN_NARROW)
 
