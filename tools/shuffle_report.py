@@ -23,7 +23,8 @@ def main(argv):
     from ratelens.plans.registry import load_all
     from ratelens.session import build_session
     spark = build_session(shuffle_partitions=16, extra={"spark.eventLog.enabled": "true",
-                                                       "spark.eventLog.dir": f"file://{log_dir}"})
+                                                       "spark.eventLog.dir": f"file://{log_dir}",
+                                                       "spark.eventLog.compress": "false"})
     entries = load_all()
     for k in HEADLINE:
         spark.catalog.clearCache()
@@ -31,7 +32,9 @@ def main(argv):
         entries[k].build(spark, sf_dir).write.format("noop").mode("overwrite").save()
     spark.stop()
     stage_group, written, read_in = {}, {}, {}
-    for path in glob.glob(os.path.join(log_dir, "*")):
+    for path in glob.glob(os.path.join(log_dir, "**", "*"), recursive=True):
+        if os.path.isdir(path) or os.path.basename(path).startswith("appstatus"):
+            continue
         with open(path) as f:
             for line in f:
                 ev = json.loads(line)
