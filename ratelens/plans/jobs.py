@@ -20,7 +20,7 @@ from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_
                                    train_split)
 from ..operators.similarity import item_cosine, knn_predict, topk_neighbours
 from ..schemas import CUSTOMER, DATE, MOVIE, RATING, USER_FEATURES
-from ..session import cut_lineage
+from ..session import cut_lineage, prepare_session
 from ..sources import tables
 from ..sources.text import read_movie_titles, read_probe_sections, read_rating_sections
 
@@ -31,6 +31,7 @@ def ingest(spark: SparkSession, paths: tables.RunPaths, raw_dir: str | None, ena
            skip_if_exists: bool = False, existing: str | None = None, mode: str = "failfast") -> str:
     """Reuse an existing table, or parse the raw text (titles, sections,
     probe) into Parquet.  A JSON marker records which happened."""
+    prepare_session(spark)
     target = existing or paths.ratings
     if skip_if_exists and tables.path_exists(spark, target):
         how = "reused"
@@ -65,6 +66,7 @@ class ChurnParams:
 
 def run_churn(spark: SparkSession, ratings: DataFrame, p: ChurnParams,
               paths: tables.RunPaths | None = None) -> SimpleNamespace:
+    prepare_session(spark)
     r = require_rows(normalise(ratings), "Preprocessed ratings are empty.")
     ds = churn_dataset(r, p.reference_date, p.horizon_days, p.min_prior_ratings, p.feature_columns)
     ds = cut_lineage(stratified_split(ds, p.test_size, p.random_state))  # read by fit, score, write
@@ -100,6 +102,7 @@ class RecParams:
 
 def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame, p: RecParams,
                        paths: tables.RunPaths | None = None) -> SimpleNamespace:
+    prepare_session(spark)
     ratings = ratings.select(CUSTOMER, MOVIE, RATING, DATE)
     train = cut_lineage(train_split(ratings, probe))
     probe_rows = probe_with_ratings(ratings, probe).select(CUSTOMER, MOVIE, RATING)

@@ -15,6 +15,16 @@ SESSION_DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
+    # persisted intermediates (rank inputs, the train split) keep AQE's
+    # partition coalescing; without it a cached plan runs every shuffle at
+    # spark.sql.shuffle.partitions tasks
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
+}
+
+# SQL settings the library relies on; applied to a given session only where
+# the session leaves them unset (a cluster's explicit choice wins).
+RUNTIME_DEFAULTS = {
+    "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning": "true",
 }
 
 
@@ -34,6 +44,18 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def apply_runtime_defaults(spark: SparkSession) -> None:
+    for k, v in RUNTIME_DEFAULTS.items():
+        if spark.conf.get(k, None) is None:
+            spark.conf.set(k, v)
+
+
+def prepare_session(spark: SparkSession) -> str:
+    """Runtime defaults (where unset) and the checkpoint folder."""
+    apply_runtime_defaults(spark)
+    return ensure_checkpoint_dir(spark)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder the cluster names in ``spark.checkpoint.dir``.
 
