@@ -30,10 +30,16 @@ GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most
 FOLD_ENTRIES = 5_000_000      # residual entries per Gramian fold task
 
 
-def item_codes(res: DataFrame) -> DataFrame:
+def residual_stats(res: DataFrame) -> tuple[int, int]:
+    """(entries, distinct items) of a residual table in one job."""
+    r = res.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(MOVIE).alias("k")).first()
+    return int(r["n"]), int(r["k"])
+
+
+def item_codes(res: DataFrame, n_items: int | None = None) -> DataFrame:
     """dense code = rank of the sorted distinct item id, from 0."""
     items = res.select(MOVIE).distinct()
-    return global_row_number(items, [MOVIE], out="item_code").withColumn(
+    return global_row_number(items, [MOVIE], out="item_code", n_rows=n_items).withColumn(
         "item_code", (F.col("item_code") - 1).cast("int"))
 
 
@@ -118,27 +124,26 @@ def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int, n_entries: int
     return summed.join(F.broadcast(ci), "i").join(F.broadcast(cj), "j").select(MOVIE, NBR, "dot")
 
 
-def item_cosine(res: DataFrame, method: str = "auto") -> DataFrame:
+def item_cosine(res: DataFrame, method: str = "auto", stats: tuple[int, int] | None = None) -> DataFrame:
     """M6: cosine of item residual vectors for co-rated pairs (absent = 0),
     self pairs included.  Zero-norm items get similarity 0.
 
     ``auto`` uses the Gramian path whenever the item set is at most
     GRAMIAN_MAX_ITEMS (the popular-item list is 1,000 by construction), so
     no per-user pair rows are ever emitted; larger item sets fall back to
-    the self-join.
+    the self-join.  ``stats`` = residual_stats(res) when already known.
     """
     if method not in ("auto", "pairs", "gramian"):
         raise ValueError(method)
-    codes = None
     if method in ("auto", "gramian"):
-        codes = item_codes(res).persist()  # bounded: one row per item
-        n_items = codes.count()
+        n_entries, n_items = stats or residual_stats(res)
         if method == "auto":
             method = "gramian" if n_items <= GRAMIAN_MAX_ITEMS else "pairs"
     if method == "pairs":
         dots = _dots_pairs(res)
     else:
-        dots = _dots_gramian(res, codes, n_items, res.count())
+        codes = item_codes(res, n_items).persist()  # bounded: one row per item
+        dots = _dots_gramian(res, codes, n_items, n_entries)
     norms = (dots.filter(F.col(MOVIE) == F.col(NBR))
              .select(MOVIE, F.sqrt("dot").alias("_ni")))
     nn = norms.select(F.col(MOVIE).alias(NBR), F.col("_ni").alias("_nj"))

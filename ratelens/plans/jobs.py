@@ -18,7 +18,7 @@ from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import enrich, normalise
 from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_with_ratings, residuals, rmse,
                                    train_split)
-from ..operators.similarity import item_cosine, knn_predict, topk_neighbours
+from ..operators.similarity import item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..schemas import CUSTOMER, DATE, MOVIE, RATING, USER_FEATURES
 from ..session import cut_lineage, prepare_session
 from ..sources import tables
@@ -122,8 +122,8 @@ def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame
     if p.run_hybrid:
         pop = popular_item_ratings(train, p.top_items)
         res = cut_lineage(residuals(pop, mf.predict(pop)))
-        n_items = res.select(MOVIE).distinct().count()
-        topk = topk_neighbours(item_cosine(res), n_items, p.k)
+        stats = residual_stats(res)
+        topk = topk_neighbours(item_cosine(res, "auto", stats), stats[1], p.k)
         knn = knn_predict(res, topk, probe_rows)
         base = mf.predict(probe_rows, "base")
         ns.hybrid = blend(base, knn, p.knn_weight, clip=(1.0, 5.0) if p.clip_hybrid else None)

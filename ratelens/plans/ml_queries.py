@@ -12,7 +12,7 @@ from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, residu
 from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import normalise
 from ..operators.recommend import blend, rmse
-from ..operators.similarity import item_cosine, knn_predict, topk_neighbours
+from ..operators.similarity import item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..operators.recommend import popular_item_ratings, residuals
 from ..schemas import CUSTOMER, MOVIE, RATING, USER_FEATURES
 from .churn_queries import _churn_pop_sql
@@ -168,8 +168,8 @@ def q_hybrid_mf_predictions(spark, sf_dir):
     p, m = _mf(spark, sf_dir)
     pop = popular_item_ratings(p.train, TOP_ITEMS)
     res = residuals(pop, m.predict(pop))
-    n_items = res.select(MOVIE).distinct().count()
-    topk = topk_neighbours(item_cosine(res), n_items, K_NEIGHBOURS)
+    stats = residual_stats(res)
+    topk = topk_neighbours(item_cosine(res, "auto", stats), stats[1], K_NEIGHBOURS)
     knn = knn_predict(res, topk, p.probe_rows)
     base = m.predict(p.probe_rows.select(CUSTOMER, MOVIE, RATING), "base")
     return blend(base, knn, KNN_WEIGHT)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..fixtures import views
 from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_with_ratings, rating_scale,
                                    residuals, rmse, top_items, train_split)
-from ..operators.similarity import item_codes, item_cosine, knn_predict, topk_neighbours
+from ..operators.similarity import item_codes, item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..schemas import CUSTOMER, DATE, MOVIE, RATING
 from .params import K_NEIGHBOURS, KNN_WEIGHT, TOP_ITEMS
 from .registry import query, round_doubles
@@ -81,12 +81,12 @@ def pipeline(spark, sf_dir, method: str = "auto") -> SimpleNamespace:
     # read by the cosine self-join (twice), the item count and the KNN join
     ns.res = residuals(ns.pop, ns.model.predict(ns.pop)).persist()
 
-    def _sim():
-        return item_cosine(ns.res, method)
+    def _sim(stats=None):
+        return item_cosine(ns.res, method, stats)
 
     def _topk():
-        n_items = ns.res.select(MOVIE).distinct().count()
-        return topk_neighbours(_sim(), n_items, K_NEIGHBOURS)
+        stats = residual_stats(ns.res)
+        return topk_neighbours(_sim(stats), stats[1], K_NEIGHBOURS)
 
     def _knn():
         return knn_predict(ns.res, _topk(), ns.probe_rows)
