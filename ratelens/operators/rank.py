@@ -97,38 +97,35 @@ def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
     return _bucketize(df, order, n_rows, seed, rows_per_bucket, max_buckets, bucket_col)[0]
 
 
-def running_sum(df: DataFrame, order, weight: str | None = None, out: str = "cum_before",
+def running_sum(df: DataFrame, order, weight=None, out="cum_before",
                 n_rows: int | None = None, seed: int = 17, **kw) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 per row by default) over all rows
-    strictly before this one in ``order``.  ``order`` must be a unique key."""
+    strictly before this one in ``order``.  ``order`` must be a unique key.
+    ``weight``/``out`` may be lists to accumulate several columns in one pass."""
     order = _norm(order)
-    w = F.col(weight) if weight else F.lit(1)
+    weights = weight if isinstance(weight, (list, tuple)) else [weight]
+    outs = list(out) if isinstance(out, (list, tuple)) else [out]
+    if len(weights) != len(outs):
+        raise ValueError("one output name per weight")
+    ws = [F.col(w) if w else F.lit(1) for w in weights]
     if not df.is_cached:
         # read three times (count, split-point sample, ranking): compute once
         df = df.persist()
     bk, n_ranges = _bucketize(df, order, n_rows, seed, kw.get("rows_per_bucket"), kw.get("max_buckets"), "_bkt")
-    local = F.sum(w).over(
-        Window.partitionBy("_bkt").orderBy(*_sort_cols(order))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    win = (Window.partitionBy("_bkt").orderBy(*_sort_cols(order))
+           .rowsBetween(Window.unboundedPreceding, -1))
+    locs = [F.coalesce(F.sum(w).over(win), F.lit(0)) for w in ws]
     if n_ranges == 1:
         # one range (<= ROWS_PER_BUCKET rows): no offsets to add
-        return (bk.withColumn(out, F.coalesce(local, F.lit(0)).cast("bigint")).drop("_bkt"))
-    totals = bk.groupBy("_bkt").agg(F.sum(w).alias("_w"))
+        return bk.withColumns({o: l.cast("bigint") for o, l in zip(outs, locs)}).drop("_bkt")
+    totals = bk.groupBy("_bkt").agg(*[F.sum(w).alias(f"_w{i}") for i, w in enumerate(ws)])
     # At most MAX_BUCKETS rows: prefix sum in one tiny task, then broadcast.
-    offsets = totals.select(
-        "_bkt",
-        F.coalesce(
-            F.sum("_w").over(Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_off"),
-    )
-    return (
-        bk.withColumn("_loc", F.coalesce(local, F.lit(0)))
-        .join(F.broadcast(offsets), "_bkt")
-        .withColumn(out, (F.col("_off") + F.col("_loc")).cast("bigint"))
-        .drop("_bkt", "_off", "_loc")
-    )
+    before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_w{i}").over(before), F.lit(0)).alias(f"_off{i}")
+                                      for i in range(len(ws))])
+    res = bk.withColumns({f"_loc{i}": l for i, l in enumerate(locs)}).join(F.broadcast(offsets), "_bkt")
+    res = res.withColumns({o: (F.col(f"_off{i}") + F.col(f"_loc{i}")).cast("bigint") for i, o in enumerate(outs)})
+    return res.drop("_bkt", *[f"_off{i}" for i in range(len(ws))], *[f"_loc{i}" for i in range(len(ws))])
 
 
 def global_row_number(df: DataFrame, order, out: str = "rn", by: Sequence[str] = (),
