@@ -74,10 +74,15 @@ def top_items(train: DataFrame, n: int = 1000) -> DataFrame:
     return item_popularity(train).orderBy(F.desc("n"), F.asc(MOVIE)).limit(n)
 
 
+BROADCAST_MAX_ROWS = 100_000
+
+
 def popular_item_ratings(train: DataFrame, n: int = 1000) -> DataFrame:
     """Ratings of the top-n items.  The item list is at most n rows
-    (a proven bound), so it is broadcast."""
-    return train.join(F.broadcast(top_items(train, n).select(MOVIE)), MOVIE, "left_semi")
+    (a proven bound), so it is broadcast when n <= BROADCAST_MAX_ROWS; a
+    larger n leaves the strategy to the planner."""
+    ids = top_items(train, n).select(MOVIE)
+    return train.join(F.broadcast(ids) if n <= BROADCAST_MAX_ROWS else ids, MOVIE, "left_semi")
 
 
 def rating_scale(train: DataFrame) -> DataFrame:

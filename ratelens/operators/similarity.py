@@ -26,7 +26,8 @@ from ..schemas import CUSTOMER, MOVIE
 from .rank import global_row_number
 
 NBR = "neighbour_id"
-GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most
+GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most (auto)
+GRAMIAN_HARD_MAX = 8192       # forced Gramian path: 512 MB blocks at most
 FOLD_ENTRIES = 5_000_000      # residual entries per Gramian fold task
 
 
@@ -139,6 +140,8 @@ def item_cosine(res: DataFrame, method: str = "auto", stats: tuple[int, int] | N
         n_entries, n_items = stats or residual_stats(res)
         if method == "auto":
             method = "gramian" if n_items <= GRAMIAN_MAX_ITEMS else "pairs"
+    if method == "gramian" and n_items > GRAMIAN_HARD_MAX:
+        raise ValueError(f"{n_items} items: dense {n_items}^2 blocks are too large; use method='pairs'")
     if method == "pairs":
         dots = _dots_pairs(res)
     else:
