@@ -9,7 +9,7 @@ from ..fixtures import views
 from ..functions.scalar import MOVIE_CLUSTER_NAMES, USER_CLUSTER_NAMES
 from ..operators.cluster import (assign, best_k, bisecting, centroids_of, fit_kmeans, inertia, kmeans_sweep,
                                  name_clusters, pca)
-from ..operators.dbscan import core_points, dbscan, epsilon_pairs, n_clusters, outlier_count
+from ..operators.dbscan import core_points, dbscan, epsilon_pairs, n_clusters, n_outliers
 from ..operators.features import movie_features, standardise, user_features
 from ..operators.prep import enrich
 from ..operators.rfm import crosstab, crosstab_pct, rfm_with_cluster
@@ -240,7 +240,7 @@ def q_dbscan_items_narrow(spark, sf_dir):
     "count(DISTINCT CASE WHEN cluster <> -1 THEN cluster END) AS n_clusters FROM db", *DBSCAN_NARROW))
 def q_dbscan_outliers(spark, sf_dir):
     d = _dbscan_df(spark, sf_dir, *DBSCAN_NARROW)
-    return d.agg(F.count_if(F.col("cluster") == -1).alias("n_outliers"), n_clusters(d).alias("n_clusters"))
+    return d.agg(n_outliers("cluster").alias("n_outliers"), n_clusters("cluster").alias("n_clusters"))
 
 
 # ---- fitted models: seed/sign dependent, rows-only in the driver ----------

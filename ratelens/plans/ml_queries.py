@@ -11,7 +11,7 @@ from ..operators.classify import fit_classifier, score, stratified_split
 from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, residual_target, tune
 from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import normalise
-from ..operators.recommend import blend, rmse
+from ..operators.recommend import blend
 from ..operators.similarity import item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..operators.recommend import popular_item_ratings, residuals
 from ..schemas import CUSTOMER, MOVIE, RATING, USER_FEATURES

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..fixtures import views
 from ..operators.rfm import (box_stats, rf_heatmap, rfm_base, rfm_describe, rfm_scores, rfm_segments,
                              score_histogram, segment_rollup, segment_sizes)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from ..fixtures import probe_section_lines, rating_section_lines, title_lines, views
 from ..operators.prep import enrich
 from ..operators.sampling import assign_folds, sample_items, sample_rows
