@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+from typing import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, sharding
+from . import chat, mixing, pii, sharding, simhash
 from .common import table
 from .registry import query
 
@@ -98,3 +102,45 @@ def op5_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[n(k) for k in pii.BASE_KINDS], F.sha2(joined(base), 256).alias("base_sha256"),
                         joined(F.col("spans")).alias("spans"),
                         F.coalesce(F.array_max(F.transform("spans", lambda s: s["score"])), F.lit(0.0)).alias("top_score"))
+
+
+@query("op2_simhash_groups")
+def op2_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows = simhash.with_fingerprints(docs).select("doc_id", "simhash")  # the text does not travel on
+    out = simhash.group_rows(rows, radius=3)
+    return out.select("doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _chat_digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        rows = []
+        for tree, formatted, mask in zip(*(c.to_pylist() for c in b.columns)):
+            turns = chat.read_back(formatted)
+            loss = "".join(chat.unescape(formatted[m["start"]:m["end"]]) for m in mask)
+            rows.append((tree, len(turns), hashlib.sha256("".join(f"{r}\n{t}\n" for r, t in turns).encode()).hexdigest(), len(loss),
+                         hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+        cols = list(zip(*rows)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
+            pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()))],
+            names=["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
+
+
+#: conversation -1: texts that hold another template's control strings
+CONTROL_TURNS = [(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")]
+
+
+@query("op6_chat_trees")
+def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    extra = spark.createDataFrame(CONTROL_TURNS, "conv_id bigint, turn bigint, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra)
+    # each row answers the row before it in turn order: a tree with one branch
+    ordered = sharding.number_rows(rows, ["conv_id", "turn", "role", "text"])
+    before = ordered.select((F.col("row") + 1).alias("row"), F.col("row").alias("parent"), F.col("conv_id").alias("__conv"))
+    nodes = ordered.join(before, "row", "left").select(
+        F.col("conv_id").alias("tree"), F.col("row").alias("node"),
+        F.when(F.col("conv_id").eqNullSafe(F.col("__conv")), F.col("parent")).alias("parent"), "role", "text",
+        F.length(F.coalesce("text", F.lit(""))).cast("double").alias("score"))
+    formatted = chat.format_trees(nodes).select("tree", "formatted", "mask")
+    return formatted.mapInArrow(_chat_digest, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+                                              "loss_sha256 string, formatted_chars bigint")

@@ -35,6 +35,27 @@ def row_sizes(docs: DataFrame, text_col: str = "text") -> DataFrame:
                        (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
 
 
+def global_prefix(sized: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows in range partitions of ``keys`` with their place in the partition, and the partitions' offsets (one row each)."""
+    by = [quoted(k) for k in keys]
+    ranged = sized.repartitionByRange(*by).sortWithinPartitions(*by)
+    schema = T.StructType([*ranged.schema.fields, *[T.StructField(c, T.LongType()) for c in ("__pid", "__idx", "__before")]])
+    local = written(ranged.mapInArrow(_local_prefix, schema), "prefix")
+    totals = local.groupBy("__pid").agg(F.sum("size").alias("__bytes"), F.count(F.lit(1)).alias("__rows"))
+    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("__pid", F.coalesce(F.sum("__bytes").over(before), F.lit(0)).alias("__bytes0"),
+                            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows0"),
+                            F.sum("__bytes").over(Window.partitionBy()).alias("__total"))
+    return local, offsets
+
+
+def number_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` plus row: gapless global numbers from 0 in the order of ``keys``."""
+    local, offsets = global_prefix(df.withColumn("size", F.lit(1).cast("long")), keys)
+    return local.join(F.broadcast(offsets), "__pid").select(
+        *[quoted(c) for c in df.columns], (F.col("__rows0") + F.col("__idx")).alias("row"))
+
+
 def _local_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     from pyspark import TaskContext
 
@@ -57,17 +78,7 @@ def shard_sized(sized: DataFrame, n_shards: int, id_col: str = "doc_id") -> Data
     """The same for rows that carry size and text_crc32 (the text itself need not travel)."""
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
-    keys = [quoted(id_col), F.col("text_crc32"), F.col("size")]
-    ranged = sized.repartitionByRange(*keys).sortWithinPartitions(*keys)
-    schema = T.StructType([*ranged.schema.fields, *[T.StructField(c, T.LongType()) for c in ("__pid", "__idx", "__before")]])
-    local = written(ranged.mapInArrow(_local_prefix, schema), "prefix")
-
-    totals = local.groupBy("__pid").agg(F.sum("size").alias("__bytes"), F.count(F.lit(1)).alias("__rows"))
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    all_rows = Window.partitionBy()
-    offsets = totals.select("__pid", F.coalesce(F.sum("__bytes").over(before), F.lit(0)).alias("__bytes0"),
-                            F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__rows0"),
-                            F.sum("__bytes").over(all_rows).alias("__total"))
+    local, offsets = global_prefix(sized, [id_col, "text_crc32", "size"])
     placed = (local.join(F.broadcast(offsets), "__pid")  # one row per partition
               .withColumn("__at", F.col("__bytes0") + F.col("__before"))
               .withColumn("__row", F.col("__rows0") + F.col("__idx"))
