@@ -9,8 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, mixing, pii, sharding, simhash
-from .common import table
+from . import chat, langid, mixing, pii, quality, sharding, simhash
+from .common import fold, table
 from .registry import query
 
 N_SHARDS = 8
@@ -144,3 +144,16 @@ def op6_chat_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     formatted = chat.format_trees(nodes).select("tree", "formatted", "mask")
     return formatted.mapInArrow(_chat_digest, "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
                                               "loss_sha256 string, formatted_chars bigint")
+
+
+@query("op1_line_frequency")
+def op1_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.line_frequency_rules(table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
+@query("op4_hyperdimensional_lang")
+def op4_hyperdimensional_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    langs, proto = langid.train_prototypes(langid.training_rows(docs, fold("doc_id", 4) != 2))
+    held_out = (fold("doc_id", 4) == 2).alias("held_out")
+    return langid.identify(docs.select("doc_id", held_out, "text"), langs, proto).drop("text")
