@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, langid, mixing, pii, quality, sharding, simhash
+from . import chat, decontaminate, langid, mixing, pii, quality, sharding, simhash
 from .common import fold, table
 from .registry import query
 
@@ -157,3 +157,10 @@ def op4_hyperdimensional_lang(spark: SparkSession, sf_dir: str) -> DataFrame:
     langs, proto = langid.train_prototypes(langid.training_rows(docs, fold("doc_id", 4) != 2))
     held_out = (fold("doc_id", 4) == 2).alias("held_out")
     return langid.identify(docs.select("doc_id", held_out, "text"), langs, proto).drop("text")
+
+
+@query("op3_fm_index")
+def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
