@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, pii, quality, sharding, simhash
+from . import chat, decontaminate, langid, mixing, pii, quality, sharding, simhash, toxicity
 from .common import fold, table
 from .registry import query
 
@@ -164,3 +164,12 @@ def op3_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query("op10_crf_toxicity")
+def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train_field(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    held_out = (fold("doc_id", 5) == 0).alias("held_out")
+    scored = toxicity.score_documents(docs.select("doc_id", held_out, "text"), model)
+    return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
