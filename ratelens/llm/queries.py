@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, langid, mixing, pii, quality, sharding, simhash, toxicity
+from . import chat, decontaminate, langid, lm, mixing, pii, quality, sharding, simhash, toxicity
 from .common import fold, table
 from .registry import query
 
@@ -173,3 +173,9 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = (fold("doc_id", 5) == 0).alias("held_out")
     scored = toxicity.score_documents(docs.select("doc_id", held_out, "text"), model)
     return scored.select("doc_id", "held_out", "score", "predicted", F.size("spans").cast("long").alias("n_spans"))
+
+
+@query("op7_context_tree_weighting")
+def op7_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out"))
+    return lm.score_texts(docs, ~F.col("held_out"))

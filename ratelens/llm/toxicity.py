@@ -2,7 +2,7 @@ r"""Toxic spans by a linear-chain conditional random field (list item 10).
 
 Token labels are projected from document labels: words whose document
 frequency is significantly higher among toxic than among other training
-documents form a lexicon with strength classes; in a toxic document a lexicon
+documents, or their beginnings, form a lexicon with strength classes; in a toxic document a lexicon
 word is a toxic token, everywhere else tokens are clean.  The field has two
 tags, transition weights and the strength classes of a token and its two
 neighbours as features, so it learns how far each class can be trusted and
@@ -11,9 +11,11 @@ at most ``MAX_WINDOWS`` token windows of labelled documents.
 
 Inference is exact over whole texts: forward-backward visits the tokens with
 a non-neutral feature and steps over runs of neutral tokens with powers of
-the neutral transfer matrix.  Marginals of tokens become the document score
-(noisy-or over tokens above ``DOUBT``, else the largest marginal), and tokens
-above one half are the offending offsets.
+the neutral transfer matrix.  A document's evidence is the sum of -log(1 - p)
+over its tokens' marginals p (only the largest where all are below
+``DOUBT``); a logistic curve over its logarithm, fitted on counts of all
+training documents by evidence step and label, makes it a probability.
+Tokens above one half are the offending offsets.
 
 Bounds (documented parameters): ``MAX_LABELLED`` labelled rows (a seeded hash
 sample above that) are broadcast to meet their documents, ``MAX_LEXICON``
@@ -30,11 +32,13 @@ clashing input columns are replaced.
 from __future__ import annotations
 
 import math
+import zlib
 from dataclasses import dataclass, field
 from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,8 +52,12 @@ MAX_LEXICON = 20_000
 MAX_WINDOWS = 8_000
 WINDOW = 32
 MIN_DF = 5
+#: a lexicon word stands in toxic documents of so many sketches (of 64), so that copies of one document make none
+MIN_SPREAD = 5
 MIN_Z = 6.0
 MIN_LOG_ODDS = 2.0
+#: word beginnings of so many bytes are candidates too, for inflected and compound forms
+STEMS = (5, 6)
 #: one of so many windows without a lexicon word joins the training windows (and counts so often)
 NEUTRAL_EVERY = 64
 DOUBT = 0.05
@@ -65,6 +73,7 @@ class Field:
     left: np.ndarray = field(default_factory=lambda: np.zeros(N_CLASSES))
     right: np.ndarray = field(default_factory=lambda: np.zeros(N_CLASSES))
     pair: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
+    curve: tuple[float, float] = (1.0, 0.0)  # slope and level of the document probability over log evidence
 
     def emission(self, classes: np.ndarray) -> np.ndarray:
         """Log weight of "toxic" at each place of (windows x) classes."""
@@ -119,7 +128,7 @@ def strength(log_odds: float, toxic_share: float) -> int:
 
 def _labelled(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, label_col: str, text_col: str) -> DataFrame:
     """text, toxic (0/1) of the labelled training documents; the labels are a bounded sample and broadcast."""
-    known = (labels.select(quoted(id_col).alias("__id"), quoted(label_col).cast("int").alias("__y"))
+    known = (labels.select(quoted(id_col).alias("__id"), (quoted(label_col) > 0).cast("int").alias("__y"))
              .filter("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("toxic")))
     n = known.count()
     if n > MAX_LABELLED:
@@ -129,33 +138,65 @@ def _labelled(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, la
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts: list[dict[bytes, int]] = [{}, {}]
+    """Documents per word and kind, and which sketches (least word hash, mod 64) its toxic documents have."""
+    clean: dict[bytes, int] = {}
+    toxic: dict[bytes, list[int]] = {}
 
     def out():
-        for y in (0, 1):
-            words, n = list(counts[y]), list(counts[y].values())
-            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array([0] * len(n) if y else n, pa.int64()),
-                                              pa.array(n if y else [0] * len(n), pa.int64())], names=["word", "clean", "toxic"])
-            counts[y] = {}
+        n = len(clean), len(toxic)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([*clean, *toxic], pa.binary()), pa.array([*clean.values(), *[0] * n[1]], pa.int64()),
+             pa.array([*[0] * n[0], *[x[0] for x in toxic.values()]], pa.int64()),
+             pa.array([*[0] * n[0], *[x[1] - ((x[1] >> 63) << 64) for x in toxic.values()]], pa.int64())],
+            names=["word", "clean", "toxic", "sketches"])
+        clean.clear()
+        toxic.clear()
 
     for b, texts in blocks(batches, 0):
         for text, y in zip(texts, b.column(1).to_pylist()):
-            c = counts[1 if y else 0]
-            for w in {b"", *words_of(text)}:  # b"" counts the documents
-                c[w] = c.get(w, 0) + 1
-        if len(counts[0]) + len(counts[1]) > 500_000:
+            words = set(words_of(text))
+            words.update(b"^" + w[:n] for n in STEMS for w in list(words) if len(w) > n)  # ^ is no sign of a word
+            if y:
+                bit = 1 << (min(map(xxhash.xxh64_intdigest, words), default=0) * 0x9E3779B97F4A7C15 >> 20) % 64
+                for w in [b"", *words]:  # b"" counts the documents
+                    c = toxic.setdefault(w, [0, 0])
+                    c[0] += 1
+                    c[1] |= bit
+            else:
+                for w in [b"", *words]:
+                    clean[w] = clean.get(w, 0) + 1
+        if len(clean) + len(toxic) > 500_000:
             yield from out()
     yield from out()
 
 
+class Classes(dict):
+    """Word -> strength class: its own in the lexicon, else the strongest of its beginnings (remembered)."""
+
+    def __init__(self, lexicon: dict[bytes, int]):
+        super().__init__()
+        self.lexicon = lexicon
+
+    def __missing__(self, word: bytes) -> int:
+        get = self.lexicon.get
+        c = get(word) or max(get(b"^" + word[:n], 0) if len(word) > n else 0 for n in STEMS)
+        if len(self) > 500_000:
+            self.clear()
+        self[word] = c
+        return c
+
+    def of(self, words: list[bytes]) -> list[int]:
+        return list(map(self.__getitem__, words))
+
+
 def _windows(lexicon: dict[bytes, int]):
     """Windows with a lexicon word, and a hash share of the others: hash, weight, classes, tags."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zlib
+        table = Classes(lexicon)
         for b, texts in blocks(batches, 0):
             rows = []
             for text, y in zip(texts, b.column(1).to_pylist()):
-                classes = [lexicon.get(w, 0) for w in words_of(text)]
+                classes = table.of(words_of(text))
                 for at in range(0, len(classes), WINDOW):
                     part = classes[at:at + WINDOW]
                     if len(part) < WINDOW and at:
@@ -176,8 +217,9 @@ def train_field(docs: DataFrame, labels: DataFrame, train: Column, id_col: str =
                 text_col: str = "text") -> Field:
     """The fitted field; ``train`` tells the rows of ``docs`` whose labels may be used."""
     rows = _labelled(docs, labels, train, id_col, label_col, text_col)
-    freq = rows.mapInArrow(_document_frequencies, "word binary, clean bigint, toxic bigint") \
-        .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).filter(F.col("toxic") >= MIN_DF)
+    freq = rows.mapInArrow(_document_frequencies, "word binary, clean bigint, toxic bigint, sketches bigint") \
+        .groupBy("word").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"), F.bit_or("sketches").alias("sketches")) \
+        .filter((F.col("toxic") >= MIN_DF) & (F.bit_count("sketches") >= MIN_SPREAD))
     freq = written(freq, "words")  # the documents themselves are counted under the empty word
     both = freq.filter(F.length("word") == 0).select(F.col("clean").alias("n0"), F.col("toxic").alias("n1"))
     d = freq.filter(F.length("word") > 0).join(F.broadcast(both), F.lit(True))  # one row
@@ -194,6 +236,9 @@ def train_field(docs: DataFrame, labels: DataFrame, train: Column, id_col: str =
         .orderBy("h", "weight", "classes", "tags").limit(MAX_WINDOWS).collect()
     model = fit(np.array([r["classes"] for r in sample]), np.array([r["tags"] for r in sample]), np.array([r["weight"] for r in sample]))
     model.lexicon = lexicon
+    steps = rows.mapInArrow(_evidence(model), "tenths bigint, toxic bigint") \
+        .groupBy("tenths").agg(F.sum("toxic").alias("toxic"), F.count(F.lit(1)).alias("n")).collect()  # a few hundred steps
+    model.curve = fit_curve(*(np.array([r[c] / d for r in steps], float) for c, d in (("tenths", 10), ("toxic", 1), ("n", 1))))
     return model
 
 
@@ -248,11 +293,38 @@ class Tagger:
         return places, out
 
 
-def document_score(marginals: list[float], plain: float) -> float:
-    sure = [p for p in marginals if p >= DOUBT]
-    if sure:
-        return min(1.0, 1.0 - math.prod(1.0 - p for p in sure))
-    return min(1.0, max([plain, *marginals]))
+def log_evidence(marginals: list[float], plain: float) -> float:
+    """Logarithm of a document's evidence."""
+    sure = [p for p in marginals if p >= DOUBT] or [max([plain, *marginals])]
+    return math.log(sum(-math.log1p(-min(p, 1 - 1e-12)) for p in sure) + 1e-9)
+
+
+def probability(x: float, curve: tuple[float, float]) -> float:
+    return 1.0 / (1.0 + math.exp(-max(-500.0, min(500.0, curve[0] * x + curve[1]))))
+
+
+def fit_curve(x: np.ndarray, toxic: np.ndarray, n: np.ndarray, ridge: float = 1e-3) -> tuple[float, float]:
+    """Logistic slope and level for n documents at x of which ``toxic`` are toxic, by damped Newton steps."""
+    a, b = 1.0, 0.0
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(a * x + b, -30, 30)))
+        g = np.array([((toxic - n * p) * x).sum() - ridge * a, (toxic - n * p).sum() - ridge * b])
+        w = n * p * (1 - p)
+        h = np.array([[(w * x * x).sum() + ridge, (w * x).sum()], [(w * x).sum(), w.sum() + ridge]])
+        step = np.clip(np.linalg.solve(h, g), -2, 2)
+        a, b = a + step[0], b + step[1]
+        if np.abs(step).max() < 1e-9:
+            break
+    return float(max(a, 0.0)), float(b)
+
+
+def _evidence(model: Field):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tagger, table = Tagger(model), Classes(model.lexicon)
+        for b, texts in blocks(batches, 0):
+            x = [round(10 * log_evidence(tagger.marginals(table.of(words_of(t)))[1], tagger.plain)) for t in texts]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), b.column(1).cast(pa.int64())], names=["tenths", "toxic"])
+    return run
 
 
 def score_documents(docs: DataFrame, model: Field, text_col: str = "text") -> DataFrame:
@@ -265,18 +337,18 @@ def score_documents(docs: DataFrame, model: Field, text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(shared.value) if shared.value.lexicon else None
-        get = shared.value.lexicon.get
+        table = Classes(shared.value.lexicon)
         for b, texts in blocks(batches, at):
             scores, spans = [], []
             for text in texts:
                 words = words_of(text) if tagger else []
-                classes = [get(w, 0) for w in words]
+                classes = table.of(words)
                 if not words:
                     scores.append(0.0)
                     spans.append([])
                     continue
                 places, p = tagger.marginals(classes) if any(classes) else ([], [])
-                scores.append(document_score(p, tagger.plain))
+                scores.append(probability(log_evidence(p, tagger.plain), shared.value.curve))
                 spans.append(offsets(text, [i for i, x in zip(places, p) if x >= 0.5]))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns, pa.array(scores, pa.float64()), pa.array([int(s >= 0.5) for s in scores], pa.int32()), pa.array(spans, span)],
