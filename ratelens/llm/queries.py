@@ -11,14 +11,9 @@ from pyspark.sql import functions as F
 
 from . import chat, decontaminate, langid, lm, mixing, pii, quality, sharding, simhash, toxicity
 from .common import fold, table
+from .params import MIX_SEED, MIX_WEIGHTS, N_SHARDS
 from .registry import query
 
-N_SHARDS = 8
-
-#: Target byte shares: the large source is cut to a fifth; sources not named share the rest by size.
-MIX_WEIGHTS = {"src0": 0.20, "src1": 0.06, "src2": 0.06, "src3": 0.05, "src4": 0.05}
-MIX_SEED = 17
-
 _MIX_NAMES = ", ".join(f"('{k}', {v!r})" for k, v in MIX_WEIGHTS.items())
 MIX_SQL = f"""
 WITH w(name, weight) AS (VALUES {_MIX_NAMES}),
@@ -179,3 +174,9 @@ def op10_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_context_tree_weighting(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 5) == 1).alias("held_out"))
     return lm.score_texts(docs, ~F.col("held_out"))
+
+
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)

@@ -251,18 +251,26 @@ def components(links: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, radius: int = 3, width: int = 3, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus simhash (long) and component_id (least id reachable over links)."""
+    """All columns of ``docs`` plus simhash (long), component_id (least id reachable over links) and is_first."""
     return group_rows(with_fingerprints(docs, width, text_col), radius, id_col)
 
 
 def group_rows(rows: DataFrame, radius: int = 3, id_col: str = "doc_id") -> DataFrame:
-    """Rows with simhash -> the same plus component_id."""
+    """Rows with simhash -> the same plus component_id and is_first (the row or repeated rows that stand for the group)."""
     rows = written(rows, "prints")
-    prints = written(rows.groupBy("simhash").agg(F.min(quoted(id_col)).alias("least")), "distinct")
+    first = F.struct(quoted(id_col).isNull().alias("no_id"), quoted(id_col).alias("id"), F.col("simhash").alias("print"))
+    prints = written(rows.groupBy("simhash").agg(F.min(first).alias("first")), "distinct")
     reps = components(fingerprint_links(prints.select("simhash"), radius)).withColumnRenamed("id", "simhash")
-    groups = prints.join(reps, "simhash", "left").select("simhash", "least", F.coalesce("rep", "simhash").alias("rep"))
-    least = groups.groupBy("rep").agg(F.min("least").alias("component_id"))
-    group_of = groups.select("simhash", "rep").join(least, "rep").select("simhash", "component_id")
-    kept = keep_others(rows, ["component_id"])
+    groups = prints.join(reps, "simhash", "left").select("simhash", "first", F.coalesce("rep", "simhash").alias("rep"))
+    least = groups.groupBy("rep").agg(F.min("first").alias("first"))
+    group_of = groups.select("simhash", "rep").join(least, "rep").select("simhash", F.col("first.id").alias("component_id"), "first")
+    kept = keep_others(rows, ["component_id", "is_first", "first"])
     # one row per fingerprint on the right; a hot fingerprint's documents are split by the skew join
-    return rows.select(*[quoted(c) for c in kept]).join(group_of, "simhash").select(*[quoted(c) for c in kept], "component_id")
+    is_first = quoted(id_col).eqNullSafe(F.col("component_id")) & (F.col("simhash") == F.col("first.print"))
+    return rows.select(*[quoted(c) for c in kept]).join(group_of, "simhash").select(
+        *[quoted(c) for c in kept], "component_id", is_first.alias("is_first"))
+
+
+def one_of_each(groups: DataFrame) -> DataFrame:
+    """The first row of each group of :func:`near_duplicates` (least id, then least fingerprint; one of repeated rows)."""
+    return groups.filter("is_first").dropDuplicates(["simhash"])
