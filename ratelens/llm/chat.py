@@ -57,25 +57,30 @@ def read_back(formatted: str) -> list[tuple[str, str]]:
 
 
 def jump_tables(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
-    """Tables (node, up) of the ancestors 1, 2, 4, ... steps up, and (node, depth, total) from the root to each node."""
+    """Tables (node, up) of the ancestors 1, 2, 4, ... steps up, and (node, depth, total) from the root to each node.
+
+    A node leaves the rounds when its jump reaches the root, so a round joins only nodes deeper than the jump.
+    """
     known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("__known"))
-    state = written(nodes.select("node", "parent", F.col("score").alias("total")).join(known, "parent", "left")
-                    .select("node", F.expr("if(__known, parent, null)").alias("up"), F.lit(1).cast("bigint").alias("depth"), "total"),
-                    "jump")
-    tables, reach, n = [], 1, None
+    live = written(nodes.select("node", "parent", F.col("score").alias("total")).join(known, "parent", "left")
+                   .select("node", F.expr("if(__known, parent, null)").alias("up"), F.lit(1).cast("bigint").alias("depth"), "total"),
+                   "jump")
+    tables, reach, n, done = [], 1, None, None
     while True:
-        live = state.filter("up is not null").select("node", "up")
+        ended = live.filter("up is null")
+        done = ended if done is None else done.unionByName(ended)
+        live = live.filter("up is not null")
         if live.isEmpty():
-            return tables, state.select("node", "depth", "total")
-        n = state.count() if n is None else n
+            return tables, done.select("node", "depth", "total")
+        n = nodes.count() if n is None else n
         if reach > n:
             raise ValueError("the parents form a cycle")
-        tables.append(live)
-        above = state.select(F.col("node").alias("up"), F.col("up").alias("__up"), F.col("depth").alias("__d"),
-                             F.col("total").alias("__t"))
-        state = written(state.join(above, "up", "left").select(
-            "node", F.col("__up").alias("up"), (F.col("depth") + F.coalesce("__d", F.lit(0))).alias("depth"),
-            (F.col("total") + F.coalesce("__t", F.lit(0.0))).alias("total")), "jump")
+        tables.append(live.select("node", "up"))
+        above = done.unionByName(live).select(F.col("node").alias("up"), F.col("up").alias("__up"),
+                                              F.col("depth").alias("__d"), F.col("total").alias("__t"))
+        live = written(live.join(above, "up").select(
+            "node", F.col("__up").alias("up"), (F.col("depth") + F.col("__d")).alias("depth"),
+            (F.col("total") + F.col("__t")).alias("total")), "jump")
         reach *= 2
 
 
@@ -89,7 +94,7 @@ def chosen_paths(nodes: DataFrame, branches: int | None = 1) -> DataFrame:
         best = Window.partitionBy("tree").orderBy(F.col("total").desc(), "node")
         leaves = leaves.withColumn("__rank", F.row_number().over(best)).filter(F.col("__rank") <= branches)
     paths = written(leaves.select(F.col("node").alias("leaf"), "node", F.col("total").alias("score")), "paths")
-    for t in tables:
+    for t in reversed(tables):  # the far ancestors first: the paths grow to their full size in the last round only
         up = paths.join(t, "node").select("leaf", F.col("up").alias("node"), "score")
         paths = written(paths.unionByName(up), "paths")
     return paths.join(totals.select("node", "depth"), "node")
