@@ -73,7 +73,7 @@ def suffix_array(x: np.ndarray, sigma: int) -> np.ndarray:
     n, bits = len(x), max(1, int(sigma - 1).bit_length())
     h = max(1, 62 // bits)
     key = np.zeros(n, np.int64)
-    for j in range(h):
+    for j in range(min(h, n)):
         key <<= bits
         key[:n - j] |= x[j:]
     order = np.argsort(key, kind="stable")

@@ -16,7 +16,8 @@ by the same argument over the remaining bits (eight-bit blocks, of which all
 but r agree), which bounds a tree by the free bits, 2**24 at radius 3,
 whatever the number of documents; nothing is left out.  A shard emits a
 spanning forest of its links, not its pairs.  Components come from repeated
-contraction (hook to the least neighbour, relabel the links, drop loops),
+contraction (hook to the least neighbour, follow the hooks to their root by
+doubling, relabel the links, drop loops),
 each round a written table.
 
 Edge cases: null or blank text has fingerprint 0 and links like any other;
@@ -234,9 +235,14 @@ def components(links: DataFrame) -> DataFrame:
     labels = None
     while not links.isEmpty():
         both = links.select(F.col("a").alias("id"), F.col("b").alias("o")).unionByName(links.select(F.col("b").alias("id"), F.col("a").alias("o")))
-        hook = written(both.groupBy("id").agg(F.min("o").alias("o")).select("id", F.least("id", "o").alias("up")), "hook")
-        top = hook.select(F.col("id").alias("up"), F.col("up").alias("rep"))
-        rep = written(hook.join(top, "up").select("id", "rep"), "rep")  # the hook of the hook
+        rep = written(both.groupBy("id").agg(F.min("o").alias("o")).select("id", F.least("id", "o").alias("rep")), "hook")
+        while True:  # hooks point to smaller ids: double the steps until all point to their tree's root
+            up = rep.select(F.col("id").alias("rep"), F.col("rep").alias("__up"))
+            rep = written(rep.join(up, "rep").select("id", F.col("__up").alias("rep"), (F.col("rep") != F.col("__up")).alias("moved")), "rep")
+            if rep.filter("moved").isEmpty():
+                break
+            rep = rep.drop("moved")
+        rep = rep.drop("moved")
         if labels is None:
             labels = rep
         else:
