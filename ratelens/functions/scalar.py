@@ -57,12 +57,6 @@ def calendar_columns(date_col) -> dict[str, Column]:
     return {"year": F.year(d), "month": F.month(d), "day_of_week": F.weekday(d)}
 
 
-# F7 -------------------------------------------------------------------------
-def days_between(later, earlier) -> Column:
-    """Whole days from ``earlier`` to ``later`` on DATE values."""
-    return F.datediff(_c(later), _c(earlier))
-
-
 # F8 -------------------------------------------------------------------------
 def safe_div(a, b, default: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(_c(a), _c(b)), F.lit(default))
@@ -70,16 +64,6 @@ def safe_div(a, b, default: float = 0.0) -> Column:
 
 # F9 -------------------------------------------------------------------------
 # RFM segment labels and their rules, first match wins.
-#   Best Customers        r>=4 and f>=4 and m>=4
-#   Loyal Customers       r>=3 and f>=4 and m>=4
-#   Big Spenders          m>=4
-#   At Risk               r<=2 and f>=3 and m>=3
-#   Lost Cheap Customers  r<=2 and f<=2 and m<=2
-#   Lost Customers        r<=2
-#   Potential Loyal       r>=4 and m>=4 and f<=3
-#   Need Attention        r>=4 and m<=2
-#   Hibernating           r<=2 and f>=3
-#   Others                otherwise
 def segment_expr(r, f, m) -> Column:
     r, f, m = _c(r), _c(f), _c(m)
     return (
@@ -128,11 +112,6 @@ def sigmoid(z, bound: float = 500.0) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-# F13 ------------------------------------------------------------------------
-def round_dp(c, n: int = 6) -> Column:
-    return F.round(_c(c), n)
-
-
 # F14 ------------------------------------------------------------------------
 def abs_weighted_mean(sim, value) -> Column:
     """Aggregate: sum(s*r) / sum(|s|); 0.0 when all weights are zero."""

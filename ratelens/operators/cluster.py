@@ -39,11 +39,6 @@ def pca(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str] = (), pr
                                             for j in range(k)])
 
 
-def explained_variance(df: DataFrame, cols: Sequence[str], k: int) -> list[float]:
-    model = PCA(k=k, inputCol="features", outputCol="_pca").fit(assemble(df, cols))
-    return list(model.explainedVariance.toArray())
-
-
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, n_init: int = 10,
                max_iter: int = 300, parallelism: int = 8):
     """Best-of-n_init k-means by training cost (inertia).  Restarts run

@@ -26,23 +26,23 @@ def describe_long(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
     """A2: pandas ``describe`` in long form, one row per column:
     column, count, mean, std (sample), min, p25, p50, p75, max.
 
-    The columns are unpivoted to (column, value) so one aggregation and one
-    exact-quantile pass serve all of them; quartiles are exact with linear
-    interpolation (``summary()`` would approximate).
+    Count, mean, deviation and extremes come from one plain aggregation whose
+    single row is unpivoted; the quartiles are exact with linear interpolation
+    (``summary()`` would approximate), from value counts in long form.
     """
     cols = list(cols or numeric_columns(df))
-    long = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in cols
-    ])).alias("kv")).select("kv.column", "kv.value")
-    basic = long.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
-    q = exact_percentiles(long, "value", [0.25, 0.5, 0.75], by=["column"])
-    return basic.join(q, "column", "left").select(
+    v = {c: F.col(c).cast("double") for c in cols}
+    one = df.agg(*[F.struct(F.lit(c).alias("column"), F.count(x).alias("count"), F.avg(x).alias("mean"),
+                            F.stddev_samp(x).alias("std"), F.min(x).alias("min"), F.max(x).alias("max")).alias(f"_{i}")
+                   for i, (c, x) in enumerate(v.items())])
+    basic = one.select(F.inline(F.array(*[f"_{i}" for i in range(len(cols))])))
+    counts = None
+    for c in cols:
+        own = df.groupBy(F.col(c).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("_n")) \
+            .select(F.lit(c).alias("column"), "value", "_n")
+        counts = own if counts is None else counts.unionByName(own)
+    q = exact_percentiles(counts, "value", [0.25, 0.5, 0.75], by=["column"], weight="_n")
+    return basic.join(F.broadcast(q), "column", "left").select(  # one row per column
         "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 

@@ -15,7 +15,7 @@ def require_columns(df: DataFrame, cols) -> DataFrame:
     """Schema-only check (no job); ValueError lists what is missing."""
     missing = sorted(set(cols) - set(df.columns))
     if missing:
-        raise ValueError(f"Ratings frame missing columns: {missing}")
+        raise ValueError(f"ratings need the missing columns {missing}")
     return df
 
 
@@ -59,11 +59,6 @@ def resolve_reference_date(df: DataFrame, raw=None) -> Column:
     return F.lit(str(raw)).cast("date")
 
 
-def feature_window(df: DataFrame, feat_end: Column) -> DataFrame:
-    """Rows strictly before the feature cutoff."""
-    return df.filter(F.col(DATE) < feat_end)
-
-
 def label_window(df: DataFrame, feat_end: Column, reference: Column) -> DataFrame:
     """Rows in [feat_end, reference], both ends included."""
     return df.filter((F.col(DATE) >= feat_end) & (F.col(DATE) <= reference))
@@ -73,5 +68,5 @@ def select_features(df: DataFrame, cols, keys=(CUSTOMER, "churned")) -> DataFram
     """Pick and order feature columns; unknown names raise."""
     unknown = sorted(set(cols) - set(df.columns))
     if unknown:
-        raise ValueError(f"Unknown feature_columns: {unknown}")
+        raise ValueError(f"no features are called {unknown}")
     return df.select(*keys, *cols)

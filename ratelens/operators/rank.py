@@ -1,12 +1,14 @@
 """Exact global ranks, running sums and quantiles without a one-task window.
 
 A window with ``orderBy`` and no ``partitionBy`` sorts everything in one task.
-Instead the sort key space is cut into balanced ranges by split points taken
-from a bounded, seeded sample; the split points become literal comparisons,
-so each row's range id is a deterministic expression.  Per-range totals
-(at most ``max_buckets`` rows) are prefix-summed and broadcast, and each range
-is ranked by its own window.  The sort key must be unique (add the id column)
-so ties can never straddle two ranges in different orders.
+Instead ``repartitionByRange`` cuts the sort key space into as many ranges as
+the row count asks for (no upper limit); the rows are written with their range
+number into the checkpoint folder, so the cut points are fixed for all later
+steps and survive lost executors.  The per-range totals are prefix-summed (one
+row per range) and joined back, and each range is ranked by its own window.
+Nulls sort where Spark sorts them, whatever the number of ranges.  The sort
+key must be unique (add the id column) so ties can never straddle two ranges
+in different orders.
 """
 
 from __future__ import annotations
@@ -17,88 +19,51 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 Order = Sequence  # of (column name, ascending: bool)
 
 ROWS_PER_BUCKET = 200_000
-MAX_BUCKETS = 1024
-SAMPLE_PER_BUCKET = 64
+#: a joined side of at most so many rows is broadcast (its rows are counted first)
+BROADCAST_ROWS = 10_000
 
 
 def _norm(order) -> list[tuple[str, bool]]:
-    out = []
-    for o in order:
-        out.append((o, True) if isinstance(o, str) else (o[0], bool(o[1])))
-    return out
+    return [(o, True) if isinstance(o, str) else (o[0], bool(o[1])) for o in order]
 
 
 def _sort_cols(order: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
 
 
-def _at_or_after(order: list[tuple[str, bool]], point: tuple) -> Column:
-    """True when the row's key sorts at or after ``point`` (lexicographic)."""
-    expr = F.lit(True)
-    for (c, asc), v in reversed(list(zip(order, point))):
-        col, lit = F.col(c), F.lit(v)
-        after = col > lit if asc else col < lit
-        expr = after | ((col == lit) & expr)
-    return expr
-
-
-def _split_points(df: DataFrame, order, n_rows: int, n_buckets: int, seed: int) -> list[tuple]:
-    if n_buckets <= 1:
-        return []
-    frac = min(1.0, SAMPLE_PER_BUCKET * n_buckets / max(n_rows, 1))
-    cols = [c for c, _ in order]
-    sample = df.select(*cols).sample(fraction=frac, seed=seed).collect()  # bounded
-    if not sample:
-        return []
-
-    def key(row):
-        out = []
-        for (c, asc), v in zip(order, row):
-            if isinstance(v, (int, float)) and not asc:
-                v = -v
-            out.append(v)
-        return tuple(out)
-
-    rows = sorted((tuple(r) for r in sample), key=key)
-    step = len(rows) / n_buckets
-    pts = []
-    for i in range(1, n_buckets):
-        p = rows[min(len(rows) - 1, int(i * step))]
-        if not pts or p != pts[-1]:
-            pts.append(p)
-    return pts
-
-
-def _bucketize(df: DataFrame, order, n_rows, seed, rows_per_bucket, max_buckets,
-               bucket_col) -> tuple[DataFrame, int]:
-    order = _norm(order)
-    rows_per_bucket = rows_per_bucket or ROWS_PER_BUCKET
-    max_buckets = max_buckets or MAX_BUCKETS
-    for c, asc in order:
-        if not asc and dict(df.dtypes)[c] not in ("int", "bigint", "double", "float", "smallint", "tinyint"):
-            raise ValueError(f"descending order needs a numeric column: {c}")
-    if n_rows is None:
-        n_rows = df.count()
-    n_buckets = max(1, min(max_buckets, math.ceil(n_rows / rows_per_bucket)))
-    pts = _split_points(df, order, n_rows, n_buckets, seed) if n_buckets > 1 else []
-    b = F.lit(0)
-    for p in pts:
-        b = b + _at_or_after(order, p).cast("int")
-    return df.withColumn(bucket_col, b), len(pts) + 1
+def join_counted(df: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Null-safe inner join with a side that is broadcast if its counted rows are few."""
+    small = cut_lineage(small)
+    names = {c: f"_on_{c}" for c in on}
+    side = small.withColumnsRenamed(names)
+    if small.count() <= BROADCAST_ROWS:
+        side = F.broadcast(side)
+    cond = F.lit(True)
+    for c in on:
+        cond = cond & df[c].eqNullSafe(F.col(names[c]))
+    return df.join(side, cond).drop(*names.values())
 
 
-def bucketize(df: DataFrame, order, n_rows: int | None = None, seed: int = 17,
-              rows_per_bucket: int | None = None, max_buckets: int | None = None,
-              bucket_col: str = "_bkt") -> DataFrame:
-    """Add a range id that is monotone in ``order`` and balanced."""
-    return _bucketize(df, order, n_rows, seed, rows_per_bucket, max_buckets, bucket_col)[0]
+def bucketize(df: DataFrame, order, n_rows: int | None = None, rows_per_bucket: int | None = None,
+              bucket_col: str = "_bkt") -> tuple[DataFrame, int]:
+    """(rows with a range number that is monotone in ``order``, number of ranges)."""
+    if n_rows is None:
+        df = cut_lineage(df)  # counted, then cut into ranges
+        n_rows = df.count()
+    n = max(1, math.ceil(n_rows / (rows_per_bucket or ROWS_PER_BUCKET)))
+    if n == 1:
+        return df.withColumn(bucket_col, F.lit(0)), 1
+    ranged = df.repartitionByRange(n, *_sort_cols(_norm(order)))
+    return cut_lineage(ranged.withColumn(bucket_col, F.spark_partition_id())), n
 
 
-def running_sum(df: DataFrame, order, weight=None, out="cum_before",
-                n_rows: int | None = None, seed: int = 17, **kw) -> DataFrame:
+def running_sum(df: DataFrame, order, weight=None, out="cum_before", n_rows: int | None = None,
+                rows_per_bucket: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` (1 per row by default) over all rows
     strictly before this one in ``order``.  ``order`` must be a unique key.
     ``weight``/``out`` may be lists to accumulate several columns in one pass."""
@@ -108,10 +73,7 @@ def running_sum(df: DataFrame, order, weight=None, out="cum_before",
     if len(weights) != len(outs):
         raise ValueError("one output name per weight")
     ws = [F.col(w) if w else F.lit(1) for w in weights]
-    if not df.is_cached:
-        # read three times (count, split-point sample, ranking): compute once
-        df = df.persist()
-    bk, n_ranges = _bucketize(df, order, n_rows, seed, kw.get("rows_per_bucket"), kw.get("max_buckets"), "_bkt")
+    bk, n_ranges = bucketize(df, order, n_rows, rows_per_bucket)
     win = (Window.partitionBy("_bkt").orderBy(*_sort_cols(order))
            .rowsBetween(Window.unboundedPreceding, -1))
     locs = [F.coalesce(F.sum(w).over(win), F.lit(0)) for w in ws]
@@ -119,17 +81,19 @@ def running_sum(df: DataFrame, order, weight=None, out="cum_before",
         # one range (<= ROWS_PER_BUCKET rows): no offsets to add
         return bk.withColumns({o: l.cast("bigint") for o, l in zip(outs, locs)}).drop("_bkt")
     totals = bk.groupBy("_bkt").agg(*[F.sum(w).alias(f"_w{i}") for i, w in enumerate(ws)])
-    # At most MAX_BUCKETS rows: prefix sum in one tiny task, then broadcast.
+    # one row per range: prefix sum in one tiny task
     before = Window.orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select("_bkt", *[F.coalesce(F.sum(f"_w{i}").over(before), F.lit(0)).alias(f"_off{i}")
                                       for i in range(len(ws))])
-    res = bk.withColumns({f"_loc{i}": l for i, l in enumerate(locs)}).join(F.broadcast(offsets), "_bkt")
+    if n_ranges <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    res = bk.withColumns({f"_loc{i}": l for i, l in enumerate(locs)}).join(offsets, "_bkt")
     res = res.withColumns({o: (F.col(f"_off{i}") + F.col(f"_loc{i}")).cast("bigint") for i, o in enumerate(outs)})
     return res.drop("_bkt", *[f"_off{i}" for i in range(len(ws))], *[f"_loc{i}" for i in range(len(ws))])
 
 
 def global_row_number(df: DataFrame, order, out: str = "rn", by: Sequence[str] = (),
-                      n_rows: int | None = None, seed: int = 17) -> DataFrame:
+                      n_rows: int | None = None) -> DataFrame:
     """Exact ``row_number()`` over ``order`` (per ``by`` group if given).
 
     Equals ``row_number().over(Window.partitionBy(*by).orderBy(*order))`` but
@@ -138,12 +102,12 @@ def global_row_number(df: DataFrame, order, out: str = "rn", by: Sequence[str] =
     """
     by = list(by)
     full = [(c, True) for c in by] + _norm(order)
-    ranked = running_sum(df, full, out="_cb", n_rows=n_rows, seed=seed)
+    ranked = running_sum(df, full, out="_cb", n_rows=n_rows)
     if not by:
         return ranked.withColumn(out, F.col("_cb") + 1).drop("_cb")
     starts = ranked.groupBy(*by).agg(F.min("_cb").alias("_gs"))
     return (
-        ranked.join(starts, by)
+        join_counted(ranked, starts, by)
         .withColumn(out, F.col("_cb") - F.col("_gs") + 1)
         .drop("_cb", "_gs")
     )
@@ -161,21 +125,23 @@ def qcut_score(rn: Column, n: Column, q: int = 5) -> Column:
 
 
 def exact_percentiles(df: DataFrame, col: str, qs: Sequence[float],
-                      by: Sequence[str] = (), prefix: str = "p") -> DataFrame:
+                      by: Sequence[str] = (), prefix: str = "p", weight: str | None = None) -> DataFrame:
     """Linear-interpolated quantiles (numpy/pandas 'linear'), exact.
 
     Values are first counted per (group, value) with map-side combining, so
-    the ranked table has one row per distinct value, not per input row.
+    the ranked table has one row per distinct value, not per input row
+    (``weight``: a column with the number of times a row's value stands for).
     Output: one row per group with ``{prefix}{int(q*100)}`` columns.
     """
     by = list(by)
     glob = not by
     if glob:  # one implicit group
         df, by = df.withColumn("_all", F.lit(0)), ["_all"]
-    vc = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(F.count(F.lit(1)).alias("_n"))
+    vc = df.filter(F.col(col).isNotNull()).groupBy(*by, col).agg(
+        (F.sum(weight) if weight else F.count(F.lit(1))).alias("_n"))
     cum = running_sum(vc, [(c, True) for c in by] + [(col, True)], weight="_n", out="_cb")
     g = cum.groupBy(*by).agg(F.min("_cb").alias("_gs"), F.sum("_n").alias("_gn"))
-    cum = cum.join(g, by)
+    cum = join_counted(cum, g, by)
     lo_r = F.col("_cb") - F.col("_gs")  # rank (0-based) of this value's first copy
     hi_r = lo_r + F.col("_n")
     aggs = []

@@ -24,11 +24,6 @@ def train_split(ratings: DataFrame, probe: DataFrame) -> DataFrame:
     return ratings.join(probe.select(*PAIR), PAIR, "left_anti")
 
 
-def split_by_membership(ratings: DataFrame, probe: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(train, probe_with_ratings)."""
-    return train_split(ratings, probe), probe_with_ratings(ratings, probe)
-
-
 def global_mean(train: DataFrame) -> Column:
     """A5 as a scalar subquery (evaluated once, broadcast as a literal)."""
     return train.select(F.avg(RATING)).scalar()

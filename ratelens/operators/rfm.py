@@ -11,7 +11,7 @@ from ..functions.scalar import segment_expr
 from ..schemas import CUSTOMER, DATE, RATING
 from .eda import describe_long
 from .prep import resolve_reference_date
-from .rank import exact_percentiles, global_row_number, qcut_score
+from .rank import exact_percentiles, global_row_number, join_counted, qcut_score
 
 
 def rfm_base(ratings: DataFrame, reference=None) -> DataFrame:
@@ -73,7 +73,7 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str]) -> DataFrame:
     q = exact_percentiles(long, "value", [0.25, 0.5, 0.75], by=[by, "metric"])
     iqr = F.col("p75") - F.col("p25")
     lo_f, hi_f = F.col("p25") - 1.5 * iqr, F.col("p75") + 1.5 * iqr
-    j = long.join(q, [by, "metric"])
+    j = join_counted(long, q, [by, "metric"])
     inside = (F.col("value") >= lo_f) & (F.col("value") <= hi_f)
     return j.groupBy(by, "metric").agg(
         F.first("p25").alias("q1"), F.first("p50").alias("median"), F.first("p75").alias("q3"),

@@ -23,12 +23,14 @@ from pyspark.sql import functions as F
 
 from ..functions.scalar import abs_weighted_mean
 from ..schemas import CUSTOMER, MOVIE
+from ..session import cut_lineage
 from .rank import global_row_number
 
 NBR = "neighbour_id"
 GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most (auto)
 GRAMIAN_HARD_MAX = 8192       # forced Gramian path: 512 MB blocks at most
 FOLD_ENTRIES = 5_000_000      # residual entries per Gramian fold task
+SLICE_ROWS = 1 << 18          # rows of a fold's output frame
 
 
 def residual_stats(res: DataFrame) -> tuple[int, int]:
@@ -106,20 +108,24 @@ def _gramian_blocks(n: int, batch_users: int = 1024):
                 add(g, cnt, pdf[~tail].reset_index(drop=True))
         if carry is not None and not carry.empty:
             add(g, cnt, carry.reset_index(drop=True))
-        i, j = np.nonzero(cnt)
-        yield pd.DataFrame({"i": i.astype(np.int32), "j": j.astype(np.int32), "dot": g[i, j]})
+        i, j = np.nonzero(np.triu(cnt))  # both products are symmetric
+        for at in range(0, len(i), SLICE_ROWS):
+            si, sj = i[at:at + SLICE_ROWS], j[at:at + SLICE_ROWS]
+            yield pd.DataFrame({"i": si.astype(np.int32), "j": sj.astype(np.int32), "dot": g[si, sj]})
     return fold
 
 
 def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int, n_entries: int) -> DataFrame:
     coded = res.join(F.broadcast(codes), MOVIE).select(CUSTOMER, "item_code", "residual")
     # all of a user's entries in one task (a user has at most n_items entries);
-    # few fold tasks, so the shuffle of partial blocks stays tasks x n^2 cells
-    parts = int(res.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n_fold = max(1, min(parts, -(-n_entries // FOLD_ENTRIES)))
+    # as few fold tasks as the entries need (every core one at least): the
+    # shuffle of partial blocks is tasks x n^2 / 2 cells
+    n_fold = max(res.sparkSession.sparkContext.defaultParallelism, -(-n_entries // FOLD_ENTRIES))
     per_user = coded.repartition(n_fold, CUSTOMER).sortWithinPartitions(CUSTOMER)
     blocks = per_user.mapInPandas(_gramian_blocks(n_items), "i int, j int, dot double")
-    summed = blocks.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
+    half = blocks.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
+    summed = half.select(F.explode(F.expr(
+        "if(i = j, array(struct(i, j, dot)), array(struct(i, j, dot), struct(j as i, i as j, dot)))")).alias("c")).select("c.*")
     ci = codes.select(F.col("item_code").alias("i"), F.col(MOVIE))
     cj = codes.select(F.col("item_code").alias("j"), F.col(MOVIE).alias(NBR))
     return summed.join(F.broadcast(ci), "i").join(F.broadcast(cj), "j").select(MOVIE, NBR, "dot")
@@ -145,7 +151,7 @@ def item_cosine(res: DataFrame, method: str = "auto", stats: tuple[int, int] | N
     if method == "pairs":
         dots = _dots_pairs(res)
     else:
-        codes = item_codes(res, n_items).persist()  # bounded: one row per item
+        codes = cut_lineage(item_codes(res, n_items))  # one row per item, read three times
         dots = _dots_gramian(res, codes, n_items, n_entries)
     norms = (dots.filter(F.col(MOVIE) == F.col(NBR))
              .select(MOVIE, F.sqrt("dot").alias("_ni")))

@@ -16,6 +16,7 @@ from ..operators.rfm import crosstab, crosstab_pct, rfm_with_cluster
 from ..operators.sampling import first_n_by_hash
 from ..operators.silhouette import silhouette, silhouette_table
 from ..schemas import CUSTOMER, MOVIE, MOVIE_FEATURES
+from ..session import cut_lineage
 from .params import DBSCAN_NARROW, DBSCAN_WIDE, SEED
 from .registry import query, round_doubles
 from .rfm_queries import BASE, SCORES, SEG, segments_df
@@ -69,6 +70,16 @@ FROM ratings a JOIN umodes m ON m.customer_id = a.customer_id GROUP BY a.custome
 ]
 
 
+M_CTES = [
+    ("mcents", f"""SELECT * FROM (SELECT row_number() OVER (ORDER BY md5(concat('{SEED}:', CAST(movie_id AS VARCHAR))),
+       movie_id) - 1 AS cid, * FROM ms) t WHERE cid < {K_ASSIGN}"""),
+    ("mdists", "SELECT u.movie_id, c.cid, round(" + " + ".join(
+        f"power(u.{c} - c.{c}, 2)" for c in MOVIE_FEATURES) + ", 9) AS d FROM ms u CROSS JOIN mcents c"),
+    ("mkm", """SELECT movie_id, CAST(cid AS INTEGER) AS cluster FROM (
+  SELECT *, row_number() OVER (PARTITION BY movie_id ORDER BY d, cid) AS rn FROM mdists) t WHERE rn = 1"""),
+]
+
+
 def movie_features_df(spark, sf_dir):
     v = views(spark, sf_dir)
     return movie_features(enrich(v.ratings, v.movie_titles))
@@ -85,7 +96,7 @@ def user_scaled_df(spark, sf_dir):
 def user_clusters_df(spark, sf_dir):
     """Users assigned to K_ASSIGN centroids seeded from the data (the first
     users in seeded-hash order): deterministic, so SQL-checkable."""
-    us = user_scaled_df(spark, sf_dir).cache()
+    us = cut_lineage(user_scaled_df(spark, sf_dir))
     seeds = first_n_by_hash(us, K_ASSIGN, SEED, [CUSTOMER]).collect()  # k rows
     cents = [[float(r[c]) for c in USER_COLS] for r in seeds]
     return name_clusters(assign(us, USER_COLS, cents), USER_CLUSTER_NAMES), us, cents
@@ -255,68 +266,56 @@ def q_user_pca(spark, sf_dir):
     return _user_pca3(spark, sf_dir)
 
 
-# Fitted values (sweep rows, best k, centroids) are plain numbers; they are
-# kept per application and input so dependent keys reuse one fit, as the
-# reference's later stages read the clustering stage's output files.
-_FITS: dict = {}
-
-
-def _fitted(spark, sf_dir, name, make):
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _FITS:
-        _FITS[key] = make()
-    return _FITS[key]
-
+PCS = ["pc1", "pc2", "pc3"]
 
-def _sweep_and_fit(df, ks, sample):
-    cols = ["pc1", "pc2", "pc3"]
-    sweep = kmeans_sweep(df, cols, ks, seed=SEED, silhouette_sample=sample,
-                         id_col=df.columns[0]).collect()
-    k = best_k(df.sparkSession.createDataFrame(sweep))
-    model, _ = fit_kmeans(df, cols, k, SEED)
-    return [tuple(r) for r in sweep], k, centroids_of(model)
 
+def _sweep(df, ks):
+    """C7 over every point (one row per k)."""
+    return kmeans_sweep(df, PCS, ks, seed=SEED, id_col=df.columns[0])
 
-_SWEEP_SCHEMA = "k int, inertia double, silhouette double"
 
-
-def _user_fit(spark, sf_dir):
-    return _fitted(spark, sf_dir, "users", lambda: _sweep_and_fit(_user_pca3(spark, sf_dir).cache(),
-                                                                   range(2, 10), 10_000))
+def _best_fit(df, ks):
+    """(best k of the sweep, its centroids)."""
+    k = best_k(_sweep(df, ks))
+    model, _ = fit_kmeans(df, PCS, k, SEED)
+    return k, centroids_of(model)
 
 
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
-    """Users, k = 2..9 on PCA-3, silhouette on a 10,000 sample."""
-    return spark.createDataFrame(_user_fit(spark, sf_dir)[0], _SWEEP_SCHEMA)
+    """Users, k = 2..9 on PCA-3, silhouette of all users."""
+    return _sweep(cut_lineage(_user_pca3(spark, sf_dir)), range(2, 10))
 
 
 @query("user_kmeans")
 def q_user_kmeans(spark, sf_dir):
     """Best-k user clusters (10 restarts) with names."""
-    _, k, cents = _user_fit(spark, sf_dir)
-    return name_clusters(assign(_user_pca3(spark, sf_dir), ["pc1", "pc2", "pc3"], cents), USER_CLUSTER_NAMES)
+    p3 = cut_lineage(_user_pca3(spark, sf_dir))
+    _, cents = _best_fit(p3, range(2, 10))
+    return name_clusters(assign(p3, PCS, cents), USER_CLUSTER_NAMES)
 
 
 def _movie_models(spark, sf_dir):
-    ms = movie_scaled_df(spark, sf_dir).cache()
-    p3 = pca(ms, MOVIE_FEATURES, 3, keep=[MOVIE]).cache()
-    rows, k, cents = _fitted(spark, sf_dir, "movies", lambda: _sweep_and_fit(p3, range(2, 9), None))
-    sweep = spark.createDataFrame(rows, _SWEEP_SCHEMA)
-    km = name_clusters(assign(p3, ["pc1", "pc2", "pc3"], cents), MOVIE_CLUSTER_NAMES)
-    return ms, p3, sweep, k, km
+    ms, p3 = _movie_points(spark, sf_dir)
+    k, cents = _best_fit(p3, range(2, 9))
+    return ms, p3, k, name_clusters(assign(p3, PCS, cents), MOVIE_CLUSTER_NAMES)
+
+
+def _movie_points(spark, sf_dir):
+    ms = cut_lineage(movie_scaled_df(spark, sf_dir))
+    return ms, cut_lineage(pca(ms, MOVIE_FEATURES, 3, keep=[MOVIE]))
 
 
 @query("movie_kmeans_sweep")
 def q_movie_kmeans_sweep(spark, sf_dir):
     """Items, k = 2..8, full silhouette."""
-    return _movie_models(spark, sf_dir)[2]
+    return _sweep(_movie_points(spark, sf_dir)[1], range(2, 9))
 
 
 @query("movie_hierarchical")
 def q_movie_hierarchical(spark, sf_dir):
     """C12 re-aimed: bisecting k-means on the scaled item features, best k."""
-    ms, _, _, k, _ = _movie_models(spark, sf_dir)
+    ms, _, k, _ = _movie_models(spark, sf_dir)
     return bisecting(ms, MOVIE_FEATURES, k, SEED).select(MOVIE, "cluster_hierarchical")
 
 
@@ -324,7 +323,7 @@ def q_movie_hierarchical(spark, sf_dir):
 def q_algorithm_comparison(spark, sf_dir):
     """Method, n_clusters, silhouette (4 dp; null below 2 clusters),
     silhouettes on the scaled item features without noise points."""
-    ms, _, _, k, km = _movie_models(spark, sf_dir)
+    ms, _, k, km = _movie_models(spark, sf_dir)
     hier = bisecting(ms, MOVIE_FEATURES, k, SEED)
     db = dbscan(ms, MOVIE, MOVIE_FEATURES, *DBSCAN_WIDE).select(MOVIE, "cluster")
     rows = []
@@ -352,3 +351,14 @@ def q_dbscan_users(spark, sf_dir):
     """C13 (users): DBSCAN eps 1.5, min_samples 5 on the PCA-3 user
     coordinates -- every user, where the reference takes a 50,000 sample."""
     return dbscan(_user_pca3(spark, sf_dir), CUSTOMER, ["pc1", "pc2", "pc3"], 1.5, 5)
+
+
+@query("movie_clusters", with_views(
+    "SELECT movie_id, cluster, CASE cluster " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in sorted(MOVIE_CLUSTER_NAMES.items()))
+    + " ELSE 'Cluster ' || CAST(cluster AS VARCHAR) END AS cluster_name FROM mkm", *MF_CTES, MS_CTE, *M_CTES))
+def q_movie_clusters(spark, sf_dir):
+    """C6/C11 (items): clusters and names from a fixed start, the first items in seeded-hash order."""
+    ms = cut_lineage(movie_scaled_df(spark, sf_dir))
+    seeds = first_n_by_hash(ms, K_ASSIGN, SEED, [MOVIE]).collect()  # k rows
+    cents = [[float(r[c]) for c in MOVIE_FEATURES] for r in seeds]
+    return name_clusters(assign(ms, MOVIE_FEATURES, cents), MOVIE_CLUSTER_NAMES).select(MOVIE, "cluster", "cluster_name")

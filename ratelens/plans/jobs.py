@@ -1,5 +1,5 @@
-"""Job compositions: ingest, churn, recommendation (operators wired
-together with typed parameters; every stage is lazy until a sink or a
+"""Job compositions: ingest, EDA, churn, recommendation, clustering, RFM
+(operators wired together with typed parameters; every stage is lazy until a sink or a
 model fit, and the feature table is materialised once)."""
 
 from __future__ import annotations
@@ -11,26 +11,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import FeatureBuildError
+from ..functions.scalar import MOVIE_CLUSTER_NAMES, USER_CLUSTER_NAMES
 from ..operators.churn import churn_dataset, require_rows
 from ..operators.classify import fit_classifier, score, stratified_split
-from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, residual_target, tune
+from ..operators.cluster import assign, best_k, bisecting, centroids_of, fit_kmeans, kmeans_sweep, name_clusters, pca
+from ..operators.dbscan import dbscan
+from ..operators.eda import date_range, describe_long, head, shape, value_counts
+from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, tune
+from ..operators.features import movie_features, standardise, user_features
 from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import enrich, normalise
 from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_with_ratings, residuals, rmse,
                                    train_split)
+from ..operators.rfm import (box_stats, crosstab, crosstab_pct, rf_heatmap, rfm_base, rfm_scores, rfm_segments, rfm_with_cluster,
+                             score_histogram, segment_rollup, segment_sizes)
+from ..operators.silhouette import silhouette
 from ..operators.similarity import item_cosine, knn_predict, residual_stats, topk_neighbours
-from ..schemas import CUSTOMER, DATE, MOVIE, RATING, USER_FEATURES
+from ..schemas import CUSTOMER, DATE, MOVIE, MOVIE_FEATURES, RATING, USER_FEATURES
 from ..session import cut_lineage, prepare_session
 from ..sources import tables
+from .params import DBSCAN_WIDE
 from ..sources.text import read_movie_titles, read_probe_sections, read_rating_sections
 
 
 # ---- S11: conditional ingest -----------------------------------------------
 
 def ingest(spark: SparkSession, paths: tables.RunPaths, raw_dir: str | None, enabled: bool = True,
-           skip_if_exists: bool = False, existing: str | None = None, mode: str = "failfast") -> str:
+           skip_if_exists: bool = False, existing: str | None = None, mode: str = "failfast",
+           sample_fraction: float = 1.0, seed: int = 42) -> str:
     """Reuse an existing table, or parse the raw text (titles, sections,
-    probe) into Parquet.  A JSON marker records which happened."""
+    probe) into Parquet.  ``sample_fraction`` chooses rating files before any
+    is read.  A JSON marker records which happened."""
     prepare_session(spark)
     target = existing or paths.ratings
     if skip_if_exists and tables.path_exists(spark, target):
@@ -41,7 +52,7 @@ def ingest(spark: SparkSession, paths: tables.RunPaths, raw_dir: str | None, ena
             raise FileNotFoundError(target)
     else:
         titles = read_movie_titles(spark, f"{raw_dir}/movie_titles.txt", mode)
-        ratings = enrich(read_rating_sections(spark, f"{raw_dir}/training_set/", mode), titles)
+        ratings = enrich(read_rating_sections(spark, f"{raw_dir}/training_set/", mode, sample_fraction, seed), titles)
         tables.write_table(ratings, paths.ratings, sort_within=[DATE])
         tables.write_table(read_probe_sections(spark, f"{raw_dir}/probe.txt", mode), paths.probe)
         target, how = paths.ratings, "ingested"
@@ -52,6 +63,7 @@ def ingest(spark: SparkSession, paths: tables.RunPaths, raw_dir: str | None, ena
 
 # ---- H10: churn job ----------------------------------------------------------
 
+# The defaults below equal the reference's configuration.
 @dataclass
 class ChurnParams:
     reference_date: str | None = None
@@ -67,30 +79,32 @@ class ChurnParams:
 def run_churn(spark: SparkSession, ratings: DataFrame, p: ChurnParams,
               paths: tables.RunPaths | None = None) -> SimpleNamespace:
     prepare_session(spark)
-    r = require_rows(normalise(ratings), "Preprocessed ratings are empty.")
+    r = require_rows(normalise(ratings), "no ratings are left after normalisation")
     ds = churn_dataset(r, p.reference_date, p.horizon_days, p.min_prior_ratings, p.feature_columns)
     ds = cut_lineage(stratified_split(ds, p.test_size, p.random_state))  # read by fit, score, write
     if ds.isEmpty():
-        raise FeatureBuildError(f"No users with >= {p.min_prior_ratings} ratings before the feature cutoff.")
+        raise FeatureBuildError(f"nobody rated {p.min_prior_ratings} times before the feature window ended")
     model = fit_classifier(ds.filter(F.col("split") == "train"), p.feature_columns, p.model_type, p.model_params)
     scored = score(model, ds.filter(F.col("split") == "test"))
     m = classification_metrics(scored)
     metrics = m.select("*", roc_auc(scored).select("roc_auc").scalar().alias("roc_auc"))
     roc = roc_points(scored)
     if paths is not None:
+        tables.write_table(r, paths.preprocessed)
         tables.write_table(ds.drop("split"), paths.dataset)
         tables.save_holdout(ds, paths.holdout)
         tables.save_model(model, paths.model)
         tables.write_metrics(metrics, paths.metrics)
-        tables.write_csv(roc, paths.roc)
+        tables.write_csv(roc, paths.roc, single=False)  # one row per distinct score
     return SimpleNamespace(dataset=ds, model=model, scored=scored, metrics=metrics, roc=roc)
 
 
 # ---- recommendation job ------------------------------------------------------
 
+# Defaults and the models' display names.
 @dataclass
 class RecParams:
-    tune_sample_n: int = 50_000
+    tune_sample_n: int | None = None  # all training rows
     run_nmf: bool = True
     run_hybrid: bool = True
     knn_weight: float = 0.3
@@ -111,12 +125,12 @@ def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame
     bias = fit_bias(train)
     rows.append(("Global-mean baseline", rmse(probe_rows.withColumn("prediction", bias.mu))))
     rows.append(("User+Movie bias", rmse(bias.predict(probe_rows))))
-    best, ns.mf_grid = tune(residual_target(train), "_res", False, MF_GRID, p.tune_sample_n, seed=p.seed)
+    best, ns.mf_grid = tune(train, False, MF_GRID, p.tune_sample_n, seed=p.seed)
     mf = fit_mf(train, int(best["rank"]), float(best["regParam"]), int(best["maxIter"]), p.seed)
     mf_probe = mf.predict(probe_rows)
     rows.append(("MF (ALS on bias residual)", rmse(mf_probe)))
     if p.run_nmf:
-        nbest, ns.nmf_grid = tune(train, RATING, True, NMF_GRID, p.tune_sample_n, seed=p.seed)
+        nbest, ns.nmf_grid = tune(train, True, NMF_GRID, p.tune_sample_n, seed=p.seed)
         nmf = fit_nmf(train, int(nbest["rank"]), float(nbest["regParam"]), int(nbest["maxIter"]), p.seed)
         rows.append(("NMF", rmse(nmf.predict(probe_rows))))
     if p.run_hybrid:
@@ -134,5 +148,102 @@ def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame
         ladder = one if ladder is None else ladder.unionByName(one)
     ns.ladder = ladder.orderBy("probe_rmse")
     if paths is not None:
+        tables.write_table(train, paths.train)
+        tables.write_table(probe_rows, paths.probe_rows)
+        tables.save_als(mf.als, paths.mf_model)
+        if p.run_nmf:
+            tables.save_als(nmf.als, paths.nmf_model)
         tables.write_csv(ns.ladder, paths._p("probe_rmse.csv"))
     return ns
+
+
+# ---- EDA job -----------------------------------------------------------------
+
+def run_eda(ratings: DataFrame, paths: tables.RunPaths | None = None, head_rows: int = 5) -> SimpleNamespace:
+    """Shape, numeric summary, date range, rating counts and first rows."""
+    prepare_session(ratings.sparkSession)
+    ns = SimpleNamespace(shape=shape(ratings), describe=describe_long(ratings), dates=date_range(ratings),
+                         counts=value_counts(ratings), head=head(ratings, head_rows, [CUSTOMER, MOVIE, DATE]))
+    if paths is not None:
+        for name, df in vars(ns).items():
+            tables.write_csv(df, paths._p(f"eda_{name}.csv"))
+    return ns
+
+
+# ---- clustering job ------------------------------------------------------------
+
+# The ranges of k and DBSCAN's radius and density.
+@dataclass
+class ClusterParams:
+    user_ks: tuple = tuple(range(2, 10))
+    movie_ks: tuple = tuple(range(2, 9))
+    movie_eps: float = DBSCAN_WIDE[0]
+    movie_min_samples: int = DBSCAN_WIDE[1]
+    user_eps: float = 1.5
+    user_min_samples: int = 5
+    seed: int = 42
+
+
+def _best_clusters(points: DataFrame, key: str, ks, names: dict, seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """(sweep, points with cluster and cluster_name at the best k, best k) on PC coordinates."""
+    cols = [c for c in points.columns if c != key]
+    sweep = kmeans_sweep(points, cols, ks, seed=seed, id_col=key)
+    k = best_k(sweep)
+    model, _ = fit_kmeans(points, cols, k, seed)
+    return sweep, name_clusters(assign(points, cols, centroids_of(model)), names), k
+
+
+def run_clustering(ratings: DataFrame, titles: DataFrame, p: ClusterParams,
+                   paths: tables.RunPaths | None = None) -> SimpleNamespace:
+    """User clusters, item clusters with hierarchy and DBSCAN labels and 2-D
+    coordinates, and the comparison of the three item methods."""
+    spark = ratings.sparkSession
+    prepare_session(spark)
+    cols = [c for c in user_features(ratings).columns if c != CUSTOMER]
+    us = cut_lineage(standardise(user_features(ratings), cols, keep=[CUSTOMER]))
+    up = cut_lineage(pca(us, cols, 3, keep=[CUSTOMER]))
+    ns = SimpleNamespace()
+    ns.user_sweep, users, _ = _best_clusters(up, CUSTOMER, p.user_ks, USER_CLUSTER_NAMES, p.seed)
+    user_db = dbscan(up, CUSTOMER, ["pc1", "pc2", "pc3"], p.user_eps, p.user_min_samples)
+    ns.users = cut_lineage(users.join(user_db.select(CUSTOMER, F.col("cluster").alias("cluster_dbscan")), CUSTOMER))
+
+    ms = cut_lineage(standardise(movie_features(enrich(ratings, titles)), MOVIE_FEATURES, keep=[MOVIE]))
+    ns.movie_sweep, km, k = _best_clusters(cut_lineage(pca(ms, MOVIE_FEATURES, 3, keep=[MOVIE])), MOVIE, p.movie_ks,
+                                           MOVIE_CLUSTER_NAMES, p.seed)
+    hier = bisecting(ms, MOVIE_FEATURES, k, p.seed).select(MOVIE, "cluster_hierarchical")
+    db = dbscan(ms, MOVIE, MOVIE_FEATURES, p.movie_eps, p.movie_min_samples).select(MOVIE, F.col("cluster").alias("cluster_dbscan"))
+    flat = pca(ms, MOVIE_FEATURES, 2, keep=[MOVIE]).select(MOVIE, F.col("pc1").alias("x"), F.col("pc2").alias("y"))
+    ns.movies = cut_lineage(km.select(MOVIE, "cluster", "cluster_name").join(hier, MOVIE).join(db, MOVIE).join(flat, MOVIE))
+
+    rows = []
+    for method, col in (("K-Means", "cluster"), ("Hierarchical", "cluster_hierarchical"), ("DBSCAN", "cluster_dbscan")):
+        pts = ms.join(ns.movies.select(MOVIE, F.col(col).alias("_c")).filter("_c <> -1"), MOVIE)
+        s = silhouette(pts, MOVIE_FEATURES, "_c", MOVIE)  # None below two clusters
+        rows.append((method, pts.select("_c").distinct().count(), None if s is None else round(s, 4)))
+    ns.comparison = spark.createDataFrame(rows, "method string, n_clusters bigint, silhouette double")
+    if paths is not None:
+        tables.write_table(ns.users, paths.user_clusters)
+        tables.write_table(ns.movies, paths.movie_clusters)
+        tables.write_csv(ns.comparison, paths.comparison)
+    return ns
+
+
+# ---- RFM job -------------------------------------------------------------------
+
+def run_rfm(spark: SparkSession, ratings: DataFrame, reference=None,
+            paths: tables.RunPaths | None = None) -> SimpleNamespace:
+    """Segments with reports; cross-tabs with the clusters that a clustering run under ``paths`` has written."""
+    prepare_session(spark)
+    seg = cut_lineage(rfm_segments(rfm_scores(rfm_base(ratings, reference))))
+    ns = SimpleNamespace(segments=seg, sizes=segment_sizes(seg), heatmap=rf_heatmap(seg), histogram=score_histogram(seg),
+                         rollup=segment_rollup(seg), box=box_stats(seg, "segment", ["R", "F", "M"]))
+    ns.crosstab = ns.crosstab_pct = None
+    if paths is not None and tables.path_exists(spark, paths.user_clusters):
+        joined = cut_lineage(rfm_with_cluster(seg, spark.read.parquet(paths.user_clusters)))
+        ns.crosstab, ns.crosstab_pct = crosstab(joined, "segment", "cluster_name"), crosstab_pct(joined, "segment", "cluster_name")
+    if paths is not None:
+        tables.write_table(seg, paths._p("rfm_segments.parquet"))
+        for name in ("sizes", "heatmap", "histogram", "rollup", "box", "crosstab", "crosstab_pct"):
+            if getattr(ns, name) is not None:
+                tables.write_csv(getattr(ns, name), paths._p(f"rfm_{name}.csv"))
+    return ns

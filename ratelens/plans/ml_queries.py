@@ -8,13 +8,14 @@ from ..fixtures import views
 from ..functions.scalar import sigmoid
 from ..operators.churn import churn_dataset
 from ..operators.classify import fit_classifier, score, stratified_split
-from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, residual_target, tune
+from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, tune
 from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import normalise
 from ..operators.recommend import blend
 from ..operators.similarity import item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..operators.recommend import popular_item_ratings, residuals
 from ..schemas import CUSTOMER, MOVIE, RATING, USER_FEATURES
+from ..session import cut_lineage
 from .churn_queries import _churn_pop_sql
 from .params import HORIZON_DAYS, K_NEIGHBOURS, KNN_WEIGHT, MIN_PRIOR, SEED, TEST_SIZE, TOP_ITEMS
 from .recommend_queries import pipeline
@@ -103,9 +104,9 @@ def q_roc_auc(spark, sf_dir):
 
 
 def _model_metrics(spark, sf_dir, kind, params):
-    sp = _split(spark, sf_dir).cache()
+    sp = cut_lineage(_split(spark, sf_dir))
     model = fit_classifier(sp.filter(F.col("split") == "train"), USER_FEATURES, kind, params)
-    scored = score(model, sp.filter(F.col("split") == "test")).cache()
+    scored = cut_lineage(score(model, sp.filter(F.col("split") == "test")))
     m = classification_metrics(scored)
     auc = roc_auc(scored)
     return m.select(F.lit(kind).alias("model"), "*", auc.select("roc_auc").scalar().alias("roc_auc"))
@@ -119,8 +120,8 @@ def q_churn_lr(spark, sf_dir):
 
 @query("churn_rf")
 def q_churn_rf(spark, sf_dir):
-    """H4: random forest (100 trees) held-out metrics."""
-    return _model_metrics(spark, sf_dir, "random_forest", {"n_estimators": 100, "random_state": SEED})
+    """H4: random forest (100 trees, depth 12) held-out metrics."""
+    return _model_metrics(spark, sf_dir, "random_forest", {"n_estimators": 100, "random_state": SEED, "max_depth": 12})
 
 
 @query("churn_job")
@@ -136,12 +137,12 @@ def q_churn_job(spark, sf_dir):
 def q_mf_grid_search(spark, sf_dir):
     """M4: CV RMSE per grid point of the bias-residual ALS model."""
     p = pipeline(spark, sf_dir)
-    return tune(residual_target(p.train), "_res", False, MF_GRID, seed=SEED)[1]
+    return tune(p.train, False, MF_GRID, seed=SEED)[1]
 
 
 def _mf(spark, sf_dir):
     p = pipeline(spark, sf_dir)
-    best, _ = tune(residual_target(p.train), "_res", False, MF_GRID, seed=SEED)
+    best, _ = tune(p.train, False, MF_GRID, seed=SEED)
     return p, fit_mf(p.train, int(best["rank"]), float(best["regParam"]), int(best["maxIter"]), SEED)
 
 
@@ -156,7 +157,7 @@ def q_mf_predictions(spark, sf_dir):
 def q_nmf_predictions(spark, sf_dir):
     """M3: tuned non-negative factorisation predictions on the probe rows."""
     p = pipeline(spark, sf_dir)
-    best, _ = tune(p.train, RATING, True, NMF_GRID, seed=SEED)
+    best, _ = tune(p.train, True, NMF_GRID, seed=SEED)
     m = fit_nmf(p.train, int(best["rank"]), float(best["regParam"]), int(best["maxIter"]), SEED)
     return m.predict(p.probe_rows.select(CUSTOMER, MOVIE, RATING))
 

@@ -11,6 +11,7 @@ from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_
                                    residuals, rmse, top_items, train_split)
 from ..operators.similarity import item_codes, item_cosine, knn_predict, residual_stats, topk_neighbours
 from ..schemas import CUSTOMER, DATE, MOVIE, RATING
+from ..session import cut_lineage
 from .params import K_NEIGHBOURS, KNN_WEIGHT, TOP_ITEMS
 from .registry import query, round_doubles
 from .sqlviews import with_views
@@ -72,14 +73,14 @@ def pipeline(spark, sf_dir, method: str = "auto") -> SimpleNamespace:
     ratings, probe = v.ratings, v.probe
     ns = SimpleNamespace()
     # the split is written once and read by every later stage (as the job does)
-    ns.probe_rows = probe_with_ratings(ratings, probe).persist()
-    ns.train = train_split(ratings, probe).persist()
+    ns.probe_rows = cut_lineage(probe_with_ratings(ratings, probe))
+    ns.train = cut_lineage(train_split(ratings, probe))
     ns.model = fit_bias(ns.train)
     ns.bias_pred = ns.model.predict(ns.probe_rows)
     ns.top = top_items(ns.train, TOP_ITEMS)
     ns.pop = popular_item_ratings(ns.train, TOP_ITEMS)
     # read by the cosine self-join (twice), the item count and the KNN join
-    ns.res = residuals(ns.pop, ns.model.predict(ns.pop)).persist()
+    ns.res = cut_lineage(residuals(ns.pop, ns.model.predict(ns.pop)))
 
     def _sim(stats=None):
         return item_cosine(ns.res, method, stats)
@@ -101,12 +102,14 @@ def pipeline(spark, sf_dir, method: str = "auto") -> SimpleNamespace:
 
 @query("probe_with_ratings", rsql("SELECT customer_id, movie_id, rating, rating_date FROM probe_rows"))
 def q_probe_with_ratings(spark, sf_dir):
-    return pipeline(spark, sf_dir).probe_rows
+    v = views(spark, sf_dir)
+    return probe_with_ratings(v.ratings, v.probe)
 
 
 @query("train_split", rsql("SELECT customer_id, movie_id, rating, rating_date FROM train"))
 def q_train_split(spark, sf_dir):
-    return pipeline(spark, sf_dir).train
+    v = views(spark, sf_dir)
+    return train_split(v.ratings, v.probe)
 
 
 @query("split_counts", rsql("""SELECT (SELECT count(*) FROM ratings) AS n_ratings,
@@ -175,17 +178,34 @@ def q_item_codes(spark, sf_dir):
     return item_codes(pipeline(spark, sf_dir).res)
 
 
-@query("item_cosine", rsql("SELECT movie_id, neighbour_id, round(sim, 6) AS sim FROM sim"), check="R")
+def _sim_sql(where: str = "") -> str:
+    return rsql("SELECT movie_id, count(*) AS n_neighbours, CAST(sum(CAST(round(sim, 6) * 1e6 AS BIGINT)) AS BIGINT) AS sim_micro, "
+                f"round(min(sim), 6) AS sim_min, round(max(sim), 6) AS sim_max FROM sim {where} GROUP BY movie_id")
+
+
+def _sim_summary(sim):
+    """Per item: co-rated neighbours, sum of the similarities in millionths, extremes."""
+    r = F.round(F.col("sim"), 6)
+    return sim.groupBy(MOVIE).agg(F.count(F.lit(1)).alias("n_neighbours"),
+                                  F.sum(F.round(r * 1e6).cast("bigint")).alias("sim_micro"),
+                                  F.min(r).alias("sim_min"), F.max(r).alias("sim_max"))
+
+
+@query("item_cosine", _sim_sql(), check="R")
 def q_item_cosine(spark, sf_dir):
-    return round_doubles(pipeline(spark, sf_dir).sim())
+    return _sim_summary(pipeline(spark, sf_dir).sim())
 
 
-@query("item_cosine_gramian", rsql("SELECT movie_id, neighbour_id, round(sim, 6) AS sim FROM sim WHERE round(sim, 6) <> 0"),
-       check="R")
+@query("item_cosine_gramian", _sim_sql("WHERE round(sim, 6) <> 0"), check="R")
 def q_item_cosine_gramian(spark, sf_dir):
     # the dense path keeps only non-zero cells; compare on those
-    s = round_doubles(pipeline(spark, sf_dir, method="gramian").sim())
-    return s.filter(F.col("sim") != 0)
+    return _sim_summary(pipeline(spark, sf_dir, method="gramian").sim().filter(F.round("sim", 6) != 0))
+
+
+@query("item_cosine_pairs", _sim_sql(), check="R")
+def q_item_cosine_pairs(spark, sf_dir):
+    """J10 on the self-join path."""
+    return _sim_summary(pipeline(spark, sf_dir, method="pairs").sim())
 
 
 @query("item_topk", rsql("SELECT movie_id, neighbour_id, slot, round(sim, 6) AS sim FROM topk"), check="R")

@@ -6,8 +6,7 @@ from ..fixtures import views
 from ..operators.rfm import (box_stats, rf_heatmap, rfm_base, rfm_describe, rfm_scores, rfm_segments,
                              score_histogram, segment_rollup, segment_sizes)
 from .eda_queries import describe_sql
-from ..operators.sampling import sample_rows
-from .params import RFM_REFERENCE, SEED
+from .params import RFM_REFERENCE
 from .registry import query, round_doubles
 from .sqlviews import with_views
 
@@ -115,13 +114,7 @@ def q_rfm_segment_rollup(spark, sf_dir):
     return segment_rollup(segments_df(spark, sf_dir))
 
 
-_SCATTER_N = 25_000
-
-
-@query("rfm_scatter_sample", rfm_sql(
-    f"""SELECT customer_id, R, F, round(M, 6) AS M, segment FROM seg
-QUALIFY row_number() OVER (ORDER BY md5(concat('{SEED}:', CAST(customer_id AS VARCHAR))), customer_id) <= {_SCATTER_N}"""))
+@query("rfm_scatter_sample", rfm_sql("SELECT customer_id, R, F, round(M, 6) AS M, segment FROM seg"))
 def q_rfm_scatter_sample(spark, sf_dir):
-    """At most 25,000 users (seeded) behind the 3-D R/F/M scatter."""
-    seg = segments_df(spark, sf_dir).select("customer_id", "R", "F", "M", "segment")
-    return round_doubles(sample_rows(seg, _SCATTER_N, SEED, ["customer_id"]))
+    """The rows behind the 3-D R/F/M scatter: every user (a plot's sample is :func:`~ratelens.operators.sampling.sample_rows` of it)."""
+    return round_doubles(segments_df(spark, sf_dir).select("customer_id", "R", "F", "M", "segment"))

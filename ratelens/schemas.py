@@ -16,16 +16,6 @@ RATINGS = T.StructType([
     T.StructField(DATE, T.DateType()),
 ])
 
-MOVIE_TITLES = T.StructType([
-    T.StructField(MOVIE, T.LongType()),
-    T.StructField("year_of_release", T.IntegerType()),
-    T.StructField("title", T.StringType()),
-])
-
-PROBE = T.StructType([
-    T.StructField(CUSTOMER, T.LongType()),
-    T.StructField(MOVIE, T.LongType()),
-])
 
 # Engineered churn / clustering feature names, in the order the reference
 # configuration lists them (fixed values).

@@ -14,6 +14,8 @@ or fixtures derived from tables) can feed the parsers.
 
 from __future__ import annotations
 
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -23,9 +25,24 @@ from ..schemas import CUSTOMER, DATE, MOVIE, RATING
 MODES = ("failfast", "drop")
 
 
-def read_lines(spark: SparkSession, path) -> DataFrame:
-    """Lines of text files with their order: (file, block, pos, value)."""
-    return spark.read.text(path).select(
+#: names of the rating files in a raw folder
+RATING_FILES = "mv_*.txt"
+
+
+def rating_files(spark: SparkSession, path, fraction: float = 1.0, seed: int = 42) -> list[str]:
+    """The rating files of a folder, or the ``max(1, int(n * fraction))`` first in seeded-hash order; no file is opened."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", RATING_FILES).load(path).select("path")
+    names = sorted(r["path"] for r in found.collect())  # one row per file
+    if fraction >= 1.0 or not names:
+        return names
+    key = {n: md5(f"{seed}:{n.rsplit('/', 1)[-1]}".encode()).hexdigest() for n in names}
+    return sorted(sorted(names, key=key.get)[:max(1, int(len(names) * fraction))])
+
+
+def read_lines(spark: SparkSession, path, files: str | None = None) -> DataFrame:
+    """Lines of text files with their order: (file, block, pos, value); ``files``: only names of that pattern."""
+    reader = spark.read.option("pathGlobFilter", files) if files else spark.read
+    return reader.text(path).select(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("pos"),
@@ -143,9 +160,12 @@ def read_movie_titles(spark: SparkSession, path, mode: str = "failfast") -> Data
     return parse_movie_titles(read_lines(spark, path), mode)
 
 
-def read_rating_sections(spark: SparkSession, path, mode: str = "failfast") -> DataFrame:
-    """S2 over a glob of ``mv_*.txt`` files (or any file set)."""
-    return to_ratings(parse_rating_sections(read_lines(spark, path), mode), mode)
+def read_rating_sections(spark: SparkSession, path, mode: str = "failfast", sample_fraction: float = 1.0,
+                         seed: int = 42) -> DataFrame:
+    """S2 over a folder's ``mv_*.txt`` files; a fraction below 1 chooses files before any is read."""
+    if sample_fraction < 1.0:
+        path = rating_files(spark, path, sample_fraction, seed)
+    return to_ratings(parse_rating_sections(read_lines(spark, path, RATING_FILES), mode), mode)
 
 
 def read_probe_sections(spark: SparkSession, path, mode: str = "failfast") -> DataFrame:

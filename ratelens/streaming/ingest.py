@@ -15,11 +15,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.text import parse_rating_sections, to_ratings
+from ..sources.text import RATING_FILES, parse_rating_sections, to_ratings
 
 
 def _lines_stream(spark: SparkSession, src_dir: str, max_files: int | None) -> DataFrame:
-    r = spark.readStream.format("text")
+    r = spark.readStream.format("text").option("pathGlobFilter", RATING_FILES)
     if max_files:
         r = r.option("maxFilesPerTrigger", int(max_files))
     return r.load(src_dir).select(

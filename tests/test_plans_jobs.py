@@ -97,3 +97,44 @@ def test_ingest_reuse_and_run(spark, tmp_dir):
     assert ingest(spark, paths, None, skip_if_exists=True) == target
     with pytest.raises(FileNotFoundError):
         ingest(spark, tables.RunPaths(tmp_dir, "none"), None, enabled=False)
+
+
+def test_clustering_then_rfm_job_read_back(spark, tmp_dir):
+    from ratelens.fixtures import views
+    from ratelens.plans.jobs import ClusterParams, run_clustering, run_eda, run_rfm
+    from ratelens.sources.tables import RunPaths
+    v = views(spark, SF001)
+    paths = RunPaths(tmp_dir, "run1")
+    ratings = v.ratings
+    c = run_clustering(ratings, v.movie_titles, ClusterParams(user_ks=(2, 3), movie_ks=(2, 3)), paths)
+    users, movies = spark.read.parquet(paths.user_clusters), spark.read.parquet(paths.movie_clusters)
+    assert users.count() == ratings.select("customer_id").distinct().count()
+    assert movies.count() == ratings.select("movie_id").distinct().count()
+    assert {"cluster", "cluster_name", "cluster_hierarchical", "cluster_dbscan", "x", "y"} <= set(movies.columns)
+    comparison = spark.read.option("header", True).csv(paths.comparison)
+    assert sorted(r.method for r in comparison.collect()) == ["DBSCAN", "Hierarchical", "K-Means"]
+    assert c.user_sweep.count() == 2
+    r = run_rfm(spark, ratings, None, paths)
+    seg = spark.read.parquet(paths._p("rfm_segments.parquet"))
+    assert seg.count() == users.count() and r.crosstab is not None
+    total = spark.read.option("header", True).csv(paths._p("rfm_crosstab.csv")).filter("segment = 'All' and cluster_name = 'All'")
+    assert int(total.first()["n"]) == users.count()
+    run_eda(ratings, paths)
+    assert int(spark.read.option("header", True).csv(paths._p("eda_shape.csv")).first()["n_rows"]) == ratings.count()
+
+
+def test_recommendation_job_writes_tables_and_models(spark, tmp_dir):
+    from ratelens.fixtures import views
+    from ratelens.plans import jobs
+    from ratelens.sources.tables import RunPaths, load_als
+    v = views(spark, SF001)
+    paths = RunPaths(tmp_dir, "run2")
+    old = jobs.MF_GRID, jobs.NMF_GRID
+    jobs.MF_GRID = jobs.NMF_GRID = {"rank": [3], "regParam": [0.05], "maxIter": [2]}
+    try:
+        ns = jobs.run_recommendation(spark, v.ratings, v.probe, jobs.RecParams(run_hybrid=False), paths)
+    finally:
+        jobs.MF_GRID, jobs.NMF_GRID = old
+    assert spark.read.parquet(paths.train).count() == ns.train.count()
+    assert spark.read.parquet(paths.probe_rows).count() == ns.probe_rows.count()
+    assert load_als(paths.mf_model).rank == load_als(paths.nmf_model).rank == 3

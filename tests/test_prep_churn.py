@@ -73,7 +73,7 @@ def test_reference_date_defaults_to_max(spark):
 
 def test_unknown_feature_column(spark):
     r = ratings_df(spark, [(1, 1, 4, "2006-01-01")])
-    with pytest.raises(ValueError, match="Unknown feature_columns"):
+    with pytest.raises(ValueError, match="no features"):
         churn_dataset(r, "2006-06-01", 30, 1, ["nope"])
 
 
