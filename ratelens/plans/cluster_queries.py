@@ -224,9 +224,15 @@ def _dbscan_df(spark, sf_dir, eps, m):
     return dbscan(movie_scaled_df(spark, sf_dir), MOVIE, MOVIE_FEATURES, eps, m)
 
 
-@query("epsilon_neighbours", with_views("SELECT a, b FROM pairs", *MF_CTES, MS_CTE, _pairs_sql(DBSCAN_WIDE[0])))
+@query("epsilon_neighbours", with_views(
+    """SELECT a AS movie_id, count(*) AS n_pairs, CAST(sum(b) AS BIGINT) AS id_sum, min(b) AS id_min, max(b) AS id_max
+FROM (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs) p GROUP BY a""", *MF_CTES, MS_CTE, _pairs_sql(DBSCAN_WIDE[0])))
 def q_epsilon_neighbours(spark, sf_dir):
-    return epsilon_pairs(movie_scaled_df(spark, sf_dir), MOVIE, MOVIE_FEATURES, DBSCAN_WIDE[0])
+    """J12 folded per item (neighbours, sum and extremes of their ids): the pairs stream into the sums."""
+    p = epsilon_pairs(movie_scaled_df(spark, sf_dir), MOVIE, MOVIE_FEATURES, DBSCAN_WIDE[0])
+    both = p.select(F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("e"))
+    return both.select("e.a", "e.b").groupBy(F.col("a").alias(MOVIE)).agg(
+        F.count(F.lit(1)).alias("n_pairs"), F.sum("b").alias("id_sum"), F.min("b").alias("id_min"), F.max("b").alias("id_max"))
 
 
 @query("dbscan_core", with_views("SELECT id AS movie_id, n_neighbours, is_core FROM core",
@@ -362,3 +368,50 @@ def q_movie_clusters(spark, sf_dir):
     seeds = first_n_by_hash(ms, K_ASSIGN, SEED, [MOVIE]).collect()  # k rows
     cents = [[float(r[c]) for c in MOVIE_FEATURES] for r in seeds]
     return name_clusters(assign(ms, MOVIE_FEATURES, cents), MOVIE_CLUSTER_NAMES).select(MOVIE, "cluster", "cluster_name")
+
+
+# ---- invariants of the fitted models, computed on both sides ---------------
+
+@query("user_pca_norms", with_views(
+    "SELECT customer_id, round(" + " + ".join(f"{c} * {c}" for c in USER_COLS) + ", 6) AS norm2 FROM us", *UF_CTES), check="R")
+def q_user_pca_norms(spark, sf_dir):
+    """C4: with all components PCA is a rotation of the centred features, so every user's squared norm stays."""
+    p = pca(user_scaled_df(spark, sf_dir), USER_COLS, len(USER_COLS), keep=[CUSTOMER])
+    return round_doubles(p.select(CUSTOMER, sum(F.col(f"pc{i + 1}") ** 2 for i in range(len(USER_COLS))).alias("norm2")))
+
+
+@query("movie_pca_norms", with_views(
+    "SELECT movie_id, round(" + " + ".join(f"{c} * {c}" for c in MOVIE_FEATURES) + ", 6) AS norm2 FROM ms", *MF_CTES, MS_CTE), check="R")
+def q_movie_pca_norms(spark, sf_dir):
+    p = pca(movie_scaled_df(spark, sf_dir), MOVIE_FEATURES, len(MOVIE_FEATURES), keep=[MOVIE])
+    return round_doubles(p.select(MOVIE, sum(F.col(f"pc{i + 1}") ** 2 for i in range(len(MOVIE_FEATURES))).alias("norm2")))
+
+
+@query("user_pca_variance", with_views(
+    "SELECT count(*) AS n, round(" + " + ".join(f"var_pop({c})" for c in USER_COLS) + ", 6) AS total_variance, "
+    "true AS descending, true AS uncorrelated FROM us", *UF_CTES), check="R")
+def q_user_pca_variance(spark, sf_dir):
+    """C4: the components share out the features' variance, in falling order and without correlation."""
+    n = len(USER_COLS)
+    p = pca(user_scaled_df(spark, sf_dir), USER_COLS, n, keep=[CUSTOMER])
+    v = [F.var_pop(f"pc{i + 1}") for i in range(n)]
+    falls = F.lit(True)
+    for a, b in zip(v, v[1:]):
+        falls = falls & (a >= b - 1e-9)
+    flat = F.lit(True)
+    for i in range(n):
+        for j in range(i):
+            flat = flat & (F.abs(F.covar_pop(f"pc{i + 1}", f"pc{j + 1}")) < 1e-6)
+    return round_doubles(p.agg(F.count(F.lit(1)).alias("n"), sum(v).alias("total_variance"),
+                               falls.alias("descending"), flat.alias("uncorrelated")))
+
+
+@query("user_kmeans_bound", with_views(
+    f"SELECT {K_ASSIGN} AS k, count(*) AS n, round(sum(dd), 6) AS start_inertia, true AS not_above FROM ukm", *UF_CTES), check="R")
+def q_user_kmeans_bound(spark, sf_dir):
+    """The best of the restarts is no worse than the assignment to the fixed start."""
+    _, us, cents = user_clusters_df(spark, sf_dir)
+    start = inertia(us, USER_COLS, cents)
+    _, cost = fit_kmeans(us, USER_COLS, K_ASSIGN, SEED)
+    return round_doubles(start.select(F.lit(K_ASSIGN).alias("k"), F.lit(us.count()).cast("bigint").alias("n"),
+                                      F.col("inertia").alias("start_inertia"), (F.lit(float(cost)) <= F.col("inertia") + 1e-6).alias("not_above")))

@@ -18,7 +18,7 @@ from ..schemas import CUSTOMER, MOVIE, RATING, USER_FEATURES
 from ..session import cut_lineage
 from .churn_queries import _churn_pop_sql
 from .params import HORIZON_DAYS, K_NEIGHBOURS, KNN_WEIGHT, MIN_PRIOR, SEED, TEST_SIZE, TOP_ITEMS
-from .recommend_queries import pipeline
+from .recommend_queries import pipeline, rsql
 from .registry import query, round_doubles
 
 # Fixed linear score used to check the metric operators against SQL.
@@ -181,3 +181,27 @@ def q_model_ladder_full(spark, sf_dir):
     """Probe RMSE of every model, computed (never hard-coded)."""
     from .jobs import RecParams, run_recommendation
     return run_recommendation(spark, views(spark, sf_dir).ratings, views(spark, sf_dir).probe, RecParams()).ladder
+
+
+# ---- bounds of the fitted models, computed on both sides ---------------------
+
+_BOUNDS_SQL = """SELECT customer_id, movie_id, rating, true AS in_scale FROM probe_rows"""
+
+
+def _bounded(pred, train):
+    lo, hi = train.agg(F.min(RATING), F.max(RATING)).first()
+    return pred.select(CUSTOMER, MOVIE, RATING, F.col("prediction").between(lo, hi).alias("in_scale"))
+
+
+@query("mf_prediction_bounds", rsql(_BOUNDS_SQL))
+def q_mf_prediction_bounds(spark, sf_dir):
+    """M2: one prediction per probe row, inside the training scale."""
+    p = pipeline(spark, sf_dir)
+    return _bounded(fit_mf(p.train, seed=SEED).predict(p.probe_rows.select(CUSTOMER, MOVIE, RATING)), p.train)
+
+
+@query("nmf_prediction_bounds", rsql(_BOUNDS_SQL))
+def q_nmf_prediction_bounds(spark, sf_dir):
+    """M3: the same for the non-negative model."""
+    p = pipeline(spark, sf_dir)
+    return _bounded(fit_nmf(p.train, seed=SEED).predict(p.probe_rows.select(CUSTOMER, MOVIE, RATING)), p.train)
