@@ -206,7 +206,7 @@ def _windows(lexicon: dict[bytes, int]):
                     if any(part):
                         rows.append((h, 1.0, part, [int(bool(y and c)) for c in part]))
                     elif h % NEUTRAL_EVERY == 0:
-                        rows.append((h // NEUTRAL_EVERY, float(NEUTRAL_EVERY), part, [0] * WINDOW))
+                        rows.append((h, float(NEUTRAL_EVERY), part, [0] * WINDOW))
             cols = list(zip(*rows)) or [()] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (
                 pa.int64(), pa.float64(), pa.list_(pa.int64()), pa.list_(pa.int64())))], names=["h", "weight", "classes", "tags"])
@@ -232,8 +232,12 @@ def train_field(docs: DataFrame, labels: DataFrame, train: Column, id_col: str =
     lexicon = {bytes(r["word"]): strength(r["odds"], r["share"]) for r in words}
     if not lexicon:
         return Field()
-    sample = rows.mapInArrow(_windows(lexicon), "h bigint, weight double, classes array<bigint>, tags array<bigint>") \
-        .orderBy("h", "weight", "classes", "tags").limit(MAX_WINDOWS).collect()
+    windows = written(rows.mapInArrow(_windows(lexicon), "h bigint, weight double, classes array<bigint>, tags array<bigint>"), "windows")
+    # a hash share of about MAX_WINDOWS first, so that no task sends more than its part of the sample to the driver
+    n = windows.count()
+    if n > MAX_WINDOWS:
+        windows = windows.filter(F.col("h") < F.lit(int(2 ** 32 * (MAX_WINDOWS + 4 * math.sqrt(MAX_WINDOWS)) / n)))
+    sample = windows.orderBy("h", "weight", "classes", "tags").limit(MAX_WINDOWS).collect()
     model = fit(np.array([r["classes"] for r in sample]), np.array([r["tags"] for r in sample]), np.array([r["weight"] for r in sample]))
     model.lexicon = lexicon
     steps = rows.mapInArrow(_evidence(model), "tenths bigint, toxic bigint") \
