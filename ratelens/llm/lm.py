@@ -50,7 +50,7 @@ MAX_CONTEXTS = 32_768
 HEAD_WORDS = 500_000
 _WORD_SEED = 42  # of Spark's xxhash64
 _MERGE_ROWS = 4 << 20
-_NODES = 16
+_NODES = 8  # decision nodes of a bit worked on at a time
 OUT = ["n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
 
 
@@ -188,7 +188,7 @@ class Trees:
         node = np.zeros(len(at), np.int32)
         walk, code = self.walk.ravel(), self.code.ravel()
         for d in range(1, DEPTH + 1):
-            node = walk[(node << 8) | a[at - d]]
+            node = walk[(node << 8) | a[at - d]].astype(np.int32)
         p = code[(node << 8) | a[at]]
         ends = np.cumsum([0, *[len(t) + 1 for t in texts]])[:-1]
         return np.add.reduceat(p, ends, dtype=np.float64)
@@ -202,24 +202,36 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return np.where(x < 64, small[np.minimum(2 * x, 128).astype(np.int64)], series)
 
 
+def parents(contexts: list[tuple[int, int]]) -> np.ndarray:
+    """Row of each context without its oldest byte (of the first, the empty one, itself)."""
+    number = {c: i for i, c in enumerate(contexts)}
+    return np.array([0] + [number[d - 1, c & ((1 << 8 * (d - 1)) - 1)] for d, c in contexts[1:]], np.int64)
+
+
+def room(contexts: list[tuple[int, int]]) -> np.ndarray:
+    """Zeros for the counts of next bytes: a row per context, then one per inner node (for :func:`weighted_trees`)."""
+    return np.zeros((len(contexts) + len(np.unique(parents(contexts)[1:])), 256))
+
+
 def weighted_trees(contexts: list[tuple[int, int]], counts: np.ndarray) -> Trees:
-    """From (depth, context) in depth order, closed under dropping the oldest byte, with counts of next bytes (rows alike).
+    """From (depth, context) in depth order, closed under dropping the oldest byte, with counts of next bytes.
 
-    The first context is (0, 0), the empty one.
+    The first context is (0, 0), the empty one; ``counts`` is a filled :func:`room`, whose further rows are set here.
     """
-    number = {c: i for i, c in enumerate(contexts)}
-    parent = np.array([0] + [number[d - 1, c & ((1 << 8 * (d - 1)) - 1)] for d, c in contexts[1:]], np.int64)
+    parent = parents(contexts)
     inner = np.unique(parent[1:])
-    rest = counts[inner].copy()  # what the held longer contexts of an inner node don't see
-    np.subtract.at(rest, np.searchsorted(inner, parent[1:]), counts[1:])
-    counts = np.concatenate([counts, rest])
+    rest = counts[len(contexts):]
+    rest[:] = counts[inner]  # what the held longer contexts of an inner node don't see
+    for i in range(1, len(contexts)):
+        rest[np.searchsorted(inner, parent[i])] -= counts[i]
     parent = np.concatenate([parent, inner])
     depth = np.array([d for d, _ in contexts] + [contexts[i][0] + 1 for i in inner.tolist()], np.int64)
     n, is_inner = len(parent), np.zeros(len(parent), bool)
     is_inner[inner] = True
 
-    walk = np.repeat(np.arange(n, dtype=np.int32)[:, None], 256, axis=1)
-    walk[inner] = np.arange(len(contexts), n, dtype=np.int32)[:, None]
+    small = np.uint16 if n <= 1 << 16 else np.int32
+    walk = np.repeat(np.arange(n).astype(small)[:, None], 256, axis=1)
+    walk[inner] = np.arange(len(contexts), n).astype(small)[:, None]
     for i, (d, c) in enumerate(contexts[1:], 1):
         walk[parent[i], c >> 8 * (d - 1)] = i
 
@@ -262,7 +274,7 @@ def train_trees(texts: DataFrame, max_contexts: int = MAX_CONTEXTS) -> Trees:
     held = totals.filter(F.col("n") >= least).select("depth", "context")  # max_contexts at most
     contexts = [(0, 0), *sorted((r["depth"], r["context"]) for r in held.collect())]
     number = {c: i for i, c in enumerate(contexts)}
-    counts = np.zeros((len(contexts), 256))
+    counts = room(contexts)
     following = F.col("gram").bitwiseAND(F.lit(255)).alias("next")
     for d in range(DEPTH + 1):
         seen = grams.select(context(d), following, "n")

@@ -146,7 +146,7 @@ def test_probabilities_of_the_next_byte_sum_to_one(contexts):
     least = lm.threshold(list(Counter(m for _, _, m in counts).items()), contexts)
     held += sorted((d, k) for d, k, m in counts if m >= least)
     assert len(held) - 1 <= contexts
-    table = np.zeros((len(held), 256))
+    table = lm.room(held)
     for i, (d, c) in enumerate(held):
         mine = (key >> 8 & (1 << 8 * d) - 1) == c
         np.add.at(table[i], key[mine] & 255, n[mine])
