@@ -62,9 +62,12 @@ def jump_tables(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     A node leaves the rounds when its jump reaches the root, so a round joins only nodes deeper than the jump.
     """
     known = nodes.select(F.col("node").alias("parent"), F.lit(True).alias("__known"))
-    live = written(nodes.select("node", "parent", F.col("score").alias("total")).join(known, "parent", "left")
-                   .select("node", F.expr("if(__known, parent, null)").alias("up"), F.lit(1).cast("bigint").alias("depth"), "total"),
-                   "jump")
+    first = nodes.select("node", "parent", F.col("score").alias("total"))
+    # roots do not join: their null parents would all meet in one task
+    child = first.filter("parent is not null").join(known, "parent", "left").select(
+        "node", F.expr("if(__known, parent, null)").alias("up"), "total")
+    root = first.filter("parent is null").select("node", F.col("parent").alias("up"), "total")
+    live = written(child.unionByName(root).select("node", "up", F.lit(1).cast("bigint").alias("depth"), "total"), "jump")
     tables, reach, n, done = [], 1, None, None
     while True:
         ended = live.filter("up is null")
