@@ -134,6 +134,24 @@ def test_context_trees_match_brute_force(spark):
     assert got[200].score == got[101].score and got[200].n_tokens == 1
 
 
+@pytest.mark.parametrize("head", [500_000, 40])
+def test_context_trees_hold_every_context(spark, head, monkeypatch):
+    monkeypatch.setattr(lm, "HEAD_GRAMS", head)  # 40: most grams take the join
+    monkeypatch.setattr(lm, "_GROUP_ROWS", 500)  # several blocks of groups in a task
+    rng = random.Random(8)
+    train = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789-+*/", k=3000)) for _ in range(5)]
+    contexts = {s[i - d:i] for t in train for s in ["\0" * lm.DEPTH + t + "\0"] for i in range(lm.DEPTH, len(s)) for d in range(1, lm.DEPTH + 1)}
+    assert len(contexts) > 32_768
+    test = [train[0][50:57], "qzqz", train[2][:6], train[0][50:57]]
+    rows = [(i, t, True) for i, t in enumerate(train)] + [(100 + i, t, False) for i, t in enumerate(test)] + [(200, test[0], None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean").repartition(3)
+    got = {r.doc_id: r.score for r in lm.score_texts(df, F.col("train")).collect()}
+    want = brute_ctw([t.encode() for t in train], [t.encode() for t in test], lm.DEPTH)
+    for i, w in enumerate(want):
+        assert abs(got[100 + i] - w) < 1e-6, test[i]
+    assert abs(got[200] - got[100]) < 1e-9 and abs(got[103] - got[100]) < 1e-9
+
+
 @pytest.mark.parametrize("contexts", [1, 7, 10_000])
 def test_probabilities_of_the_next_byte_sum_to_one(contexts):
     key, n = lm._grams([t.encode() for t in TRAIN])
