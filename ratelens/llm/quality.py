@@ -2,10 +2,15 @@ r"""Quality rules from cross-document line frequency (list item 1).
 
 Every line is normalised (ASCII lower case, digits to 0, words joined by one
 blank) and hashed (XXH64).  A line counts once per document; the number of
-distinct documents of a host that hold it is counted with map-side sums, and
-lines in more than ``max_docs`` documents of a host are removed from that
-host's documents.  A document that loses more than ``max_lost_pct`` percent
-of its words is depleted and rejected.
+documents of a host that hold it is counted with map-side sums.  Limits are
+shares, so they mean the same at every size: a line is removed from a host's
+documents that stands in more than ``HOST_PCT`` percent of them
+(``MIN_DOCS`` at least), and from all documents if it stands in more than
+``CORPUS_PCT`` percent of the corpus (``MIN_CORPUS_DOCS`` at least; a line of
+``LONG_WORDS`` words, which seldom repeats by chance, ``LONG_PCT`` percent
+and ``MIN_DOCS``).  ``max_docs`` sets a fixed limit per host in place of all
+these.  A document that loses more than ``max_lost_pct`` percent of its words
+is depleted and rejected.
 
 Only hashes and word counts travel, never texts: one row per distinct line
 of a document.  A line that stands in a third of all rows is one partial sum
@@ -35,7 +40,12 @@ from .common import LOWER, blocks, keep_others, quoted, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PCT = 50
-MAX_DOCS = 20
+MIN_DOCS = 10
+HOST_PCT = 4
+MIN_CORPUS_DOCS = 20
+CORPUS_PCT = 1
+LONG_WORDS = 50
+LONG_PCT = 0.1
 MAX_LOST_PCT = 50
 
 _SYMBOLS = b"#*$%&|<>"
@@ -68,20 +78,21 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(hit) > 0).sum())
 
 
-def line_words(text: bytes) -> dict[int, int]:
-    """Signed hash of each distinct normalised line with a word -> words in all its occurrences."""
-    out: dict[int, int] = {}
+def line_words(text: bytes) -> dict[int, tuple[int, int]]:
+    """Signed hash of each distinct normalised line with a word -> words in all its occurrences, words in one."""
+    out: dict[int, tuple[int, int]] = {}
     for line in text.translate(_NORMAL).split(b"\n"):
         words = line.split()
         if words:
             h = xxhash.xxh64_intdigest(b" ".join(words))
             h -= (h >> 63) << 64
-            out[h] = out.get(h, 0) + len(words)
+            out[h] = (out.get(h, (0, 0))[0] + len(words), len(words))
     return out
 
 
-_LINES = pa.list_(pa.struct([("hash", pa.int64()), ("words", pa.int64())]))
-_LINES_T = T.ArrayType(T.StructType([T.StructField("hash", T.LongType()), T.StructField("words", T.LongType())]))
+_LINE = ("hash", "words", "size")
+_LINES = pa.list_(pa.struct([(c, pa.int64()) for c in _LINE]))
+_LINES_T = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in _LINE]))
 
 
 def measured(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
@@ -96,7 +107,7 @@ def measured(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
             found = [line_words(t) for t in texts]
             offsets = np.cumsum([0, *map(len, found)])
             flat = pa.StructArray.from_arrays([pa.array([h for f in found for h in f], pa.int64()),
-                                               pa.array([w for f in found for w in f.values()], pa.int64())], fields=list(_LINES.value_type))
+                                               *[pa.array([w[i] for f in found for w in f.values()], pa.int64()) for i in (0, 1)]], fields=list(_LINES.value_type))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(np.arange(row, row + len(texts))), *[pa.array(m[:, i]) for i in range(5)],
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat).cast(_LINES)],
@@ -108,15 +119,33 @@ def measured(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
     return src.mapInArrow(run, schema)
 
 
-def line_frequency_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_docs: int = MAX_DOCS,
+def frequent_lines(rows: DataFrame, lines: DataFrame, max_docs: int | None) -> DataFrame:
+    """__host, hash of the lines to remove; rows: __host of every document, lines: __host, hash, size of its lines."""
+    counted = lines.groupBy("__host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    if max_docs is not None:
+        return counted.filter(F.col("n") > max_docs).select("__host", "hash")
+    counted = written(counted, "line_counts")
+    hosts = written(rows.groupBy("__host").agg(F.count(F.lit(1)).alias("docs")), "hosts")
+    total = hosts.agg(F.sum("docs")).first()[0] or 0
+    large = hosts.filter(F.col("docs") * HOST_PCT > 100 * MIN_DOCS)  # others have the least limit
+    per_host = (counted.filter(F.col("n") > MIN_DOCS).join(large, "__host", "left")
+                .filter(100 * F.col("n") > HOST_PCT * F.coalesce("docs", F.lit(0))))
+    limit = F.when(F.col("size") >= LONG_WORDS, max(MIN_DOCS, total * LONG_PCT / 100)).otherwise(max(MIN_CORPUS_DOCS, total * CORPUS_PCT / 100))
+    everywhere = (counted.groupBy("hash").agg(F.sum("n").alias("n"), F.max("size").alias("size"))
+                  .filter(F.col("n") > limit).select("hash"))
+    pairs = per_host.select("__host", "hash").unionByName(counted.join(everywhere, "hash").select("__host", "hash"))
+    return pairs.distinct()
+
+
+def line_frequency_rules(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_docs: int | None = None,
                          max_lost_pct: int = MAX_LOST_PCT, carry: list[str] | None = None) -> DataFrame:
     """``carry`` (default: all but the text) plus the base measures, base_failed, removed lines and words, and kept."""
     carry = keep_others(docs, [*OUT, text_col]) if carry is None else carry
     read = list(dict.fromkeys([*carry, host_col]))
     rows = written(measured(docs, text_col, read), "measures")
     host = F.coalesce(F.concat(F.lit("="), quoted(host_col).cast("string")), F.lit(""))
-    lines = rows.select("__row", host.alias("__host"), F.explode("__lines").alias("l")).select("__row", "__host", "l.hash", "l.words")
-    frequent = lines.groupBy("__host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_docs).select("__host", "hash")
+    lines = rows.select("__row", host.alias("__host"), F.explode("__lines").alias("l")).select("__row", "__host", "l.*")
+    frequent = frequent_lines(rows.select(host.alias("__host")), lines, max_docs)
     lost = lines.join(frequent, ["__host", "hash"]).groupBy("__row").agg(
         F.count(F.lit(1)).alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
     zero = F.lit(0).cast("long")
@@ -129,7 +158,7 @@ def line_frequency_rules(docs: DataFrame, host_col: str = "source", text_col: st
     return out.select(*[quoted(c) for c in carry], *OUT[:5], "base_failed", "n_removed_lines", "n_removed_words", "kept")
 
 
-def cleaned_texts(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_docs: int = MAX_DOCS,
+def cleaned_texts(docs: DataFrame, host_col: str = "source", text_col: str = "text", max_docs: int | None = None,
                   max_lost_pct: int = MAX_LOST_PCT) -> DataFrame:
     """``docs`` of kept rows with the frequent lines taken out of the text.
 
@@ -139,8 +168,8 @@ def cleaned_texts(docs: DataFrame, host_col: str = "source", text_col: str = "te
     cols = keep_others(docs, OUT)
     src = docs.select(*[quoted(c) for c in cols], F.coalesce(F.concat(F.lit("="), quoted(host_col).cast("string")), F.lit("")).alias("__host"))
     rows = written(measured(src, text_col, [*cols, "__host"]), "texts")
-    lines = rows.select("__row", "__host", F.explode("__lines").alias("l")).select("__row", "__host", "l.hash", "l.words")
-    frequent = lines.groupBy("__host", "hash").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_docs).select("__host", "hash")
+    lines = rows.select("__row", "__host", F.explode("__lines").alias("l")).select("__row", "__host", "l.*")
+    frequent = frequent_lines(rows, lines, max_docs)
     lost = lines.join(frequent, ["__host", "hash"]).groupBy("__row").agg(
         F.sum("words").alias("__lost"), F.collect_set("hash").alias("__gone"))  # at most the document's own lines
     kept = (rows.join(lost, "__row", "left")

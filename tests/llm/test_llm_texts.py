@@ -86,6 +86,20 @@ def test_cleaned_texts_lose_frequent_lines_only(spark):
     assert got == dict(enumerate(own))
 
 
+def own_text(i, n=60):
+    return " ".join(f"own{i}word{k:x}q" for k in range(n)).translate(str.maketrans("0123456789", "ghijklmnop"))
+
+
+def test_line_limits_are_shares(spark):
+    spread = [(i, own_text(i) + "\nShare this page", "en", f"host{i % 12}", 1) for i in range(60)]  # 5 documents of each host
+    long = own_text("long", 55)
+    spread += [(100 + i, own_text(100 + i) + "\n" + own_text(200 + i) + "\n" + long, "en", f"more{i}", 1) for i in range(12)]
+    got = {r.doc_id: (r.n_removed_lines, r.n_removed_words, r.kept) for r in quality.line_frequency_rules(docs_df(spark, spread), carry=["doc_id"]).collect()}
+    assert got == {r[0]: (1, 3, True) if r[0] < 100 else (1, 55, True) for r in spread}
+    hot = [(i, own_text(i) + ("\nThank you" if i < 25 else ""), "en", "hot", 1) for i in range(3000)]  # 25 of 3,000: an ordinary line
+    assert quality.line_frequency_rules(docs_df(spark, hot), carry=["doc_id"]).filter("n_removed_lines > 0 or not kept").collect() == []
+
+
 def test_quality_empty_and_clashing(spark):
     df = spark.createDataFrame([], DOCS + ", Kept int, n_words string, __row int")
     assert quality.line_frequency_rules(df).collect() == []
