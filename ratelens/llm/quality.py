@@ -1,8 +1,9 @@
 r"""Quality rules from cross-document line frequency (list item 1).
 
 Every line is normalised (ASCII lower case, digits to 0, words joined by one
-blank) and hashed (XXH64).  A line counts once per document; the number of
-documents of a host that hold it is counted with map-side sums.  Limits are
+blank) and hashed (XXH64).  A line counts once per distinct text of a host,
+so exact copies are one document: (host, line, text hash) are made distinct
+and then counted, both with map-side sums.  Limits are
 shares, so they mean the same at every size: a line is removed from a host's
 documents that stands in more than ``HOST_PCT`` percent of them
 (``MIN_DOCS`` at least), and from all documents if it stands in more than
@@ -20,7 +21,7 @@ documents' lines by broadcast or a skew-split join.
 Base measures (per text): words are ``[^\x20\x09-\x0D]+``.
 
 Edge cases: a null or blank text has no words and fails the base rule; null
-hosts are one host; rows are documents, so a repeated row counts again; an
+hosts are one host; a repeated row counts once but is returned again; an
 empty table gives no rows; clashing input columns are replaced.
 """
 
@@ -51,7 +52,7 @@ MAX_LOST_PCT = 50
 _SYMBOLS = b"#*$%&|<>"
 _NORMAL = bytes(48 if 48 <= b <= 57 else LOWER[b] for b in range(256))
 OUT = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed_lines",
-       "n_removed_words", "kept", "__row", "__lines", "__host"]
+       "n_removed_words", "kept", "__row", "__copy", "__lines", "__host"]
 
 
 def base_measures(text: bytes) -> tuple[int, int, int, int, int]:
@@ -96,7 +97,7 @@ _LINES_T = T.ArrayType(T.StructType([T.StructField(c, T.LongType()) for c in _LI
 
 
 def measured(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
-    """carry, __row (unique), the base measures and __lines of every row."""
+    """carry, __row (unique), the base measures, __copy (hash of the text) and __lines of every row."""
     src = docs.select(*[quoted(c) for c in carry], quoted(text_col).cast("string").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -110,22 +111,24 @@ def measured(docs: DataFrame, text_col: str, carry: list[str]) -> DataFrame:
                                                *[pa.array([w[i] for f in found for w in f.values()], pa.int64()) for i in (0, 1)]], fields=list(_LINES.value_type))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(np.arange(row, row + len(texts))), *[pa.array(m[:, i]) for i in range(5)],
+                 pa.array(np.array([xxhash.xxh64_intdigest(t) for t in texts], np.uint64).view(np.int64)),
                  pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat).cast(_LINES)],
-                names=[*carry, "__row", *OUT[:5], "__lines"])
+                names=[*carry, "__row", *OUT[:5], "__copy", "__lines"])
             row += len(texts)
 
-    schema = T.StructType([*src.schema.fields[:-1], *[T.StructField(c, T.LongType()) for c in ["__row", *OUT[:5]]],
+    schema = T.StructType([*src.schema.fields[:-1], *[T.StructField(c, T.LongType()) for c in ["__row", *OUT[:5], "__copy"]],
                            T.StructField("__lines", _LINES_T)])
     return src.mapInArrow(run, schema)
 
 
 def frequent_lines(rows: DataFrame, lines: DataFrame, max_docs: int | None) -> DataFrame:
-    """__host, hash of the lines to remove; rows: __host of every document, lines: __host, hash, size of its lines."""
-    counted = lines.groupBy("__host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
+    """__host, hash of the lines to remove; rows: __host, __copy of every document, lines: also hash, size of its lines."""
+    once = lines.groupBy("__host", "hash", "__copy").agg(F.max("size").alias("size"))
+    counted = once.groupBy("__host", "hash").agg(F.count(F.lit(1)).alias("n"), F.max("size").alias("size"))
     if max_docs is not None:
         return counted.filter(F.col("n") > max_docs).select("__host", "hash")
     counted = written(counted, "line_counts")
-    hosts = written(rows.groupBy("__host").agg(F.count(F.lit(1)).alias("docs")), "hosts")
+    hosts = written(rows.select("__host", "__copy").distinct().groupBy("__host").agg(F.count(F.lit(1)).alias("docs")), "hosts")
     total = hosts.agg(F.sum("docs")).first()[0] or 0
     large = hosts.filter(F.col("docs") * HOST_PCT > 100 * MIN_DOCS)  # others have the least limit
     per_host = (counted.filter(F.col("n") > MIN_DOCS).join(large, "__host", "left")
@@ -144,12 +147,12 @@ def line_frequency_rules(docs: DataFrame, host_col: str = "source", text_col: st
     read = list(dict.fromkeys([*carry, host_col]))
     rows = written(measured(docs, text_col, read), "measures")
     host = F.coalesce(F.concat(F.lit("="), quoted(host_col).cast("string")), F.lit(""))
-    lines = rows.select("__row", host.alias("__host"), F.explode("__lines").alias("l")).select("__row", "__host", "l.*")
-    frequent = frequent_lines(rows.select(host.alias("__host")), lines, max_docs)
+    lines = rows.select("__row", "__copy", host.alias("__host"), F.explode("__lines").alias("l")).select("__row", "__host", "__copy", "l.*")
+    frequent = frequent_lines(rows.select(host.alias("__host"), "__copy"), lines, max_docs)
     lost = lines.join(frequent, ["__host", "hash"]).groupBy("__row").agg(
         F.count(F.lit(1)).alias("n_removed_lines"), F.sum("words").alias("n_removed_words"))
     zero = F.lit(0).cast("long")
-    out = (rows.drop("__lines").join(lost, "__row", "left")
+    out = (rows.drop("__lines", "__copy").join(lost, "__row", "left")
            .withColumn("n_removed_lines", F.coalesce("n_removed_lines", zero))
            .withColumn("n_removed_words", F.coalesce("n_removed_words", zero))
            .withColumn("base_failed", (F.col("n_words") < MIN_WORDS)
@@ -168,7 +171,7 @@ def cleaned_texts(docs: DataFrame, host_col: str = "source", text_col: str = "te
     cols = keep_others(docs, OUT)
     src = docs.select(*[quoted(c) for c in cols], F.coalesce(F.concat(F.lit("="), quoted(host_col).cast("string")), F.lit("")).alias("__host"))
     rows = written(measured(src, text_col, [*cols, "__host"]), "texts")
-    lines = rows.select("__row", "__host", F.explode("__lines").alias("l")).select("__row", "__host", "l.*")
+    lines = rows.select("__row", "__copy", "__host", F.explode("__lines").alias("l")).select("__row", "__host", "__copy", "l.*")
     frequent = frequent_lines(rows, lines, max_docs)
     lost = lines.join(frequent, ["__host", "hash"]).groupBy("__row").agg(
         F.sum("words").alias("__lost"), F.collect_set("hash").alias("__gone"))  # at most the document's own lines

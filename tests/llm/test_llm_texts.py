@@ -100,6 +100,15 @@ def test_line_limits_are_shares(spark):
     assert quality.line_frequency_rules(docs_df(spark, hot), carry=["doc_id"]).filter("n_removed_lines > 0 or not kept").collect() == []
 
 
+@pytest.mark.parametrize("max_docs", [None, 20])
+def test_exact_copies_are_one_document(spark, max_docs):
+    rows = [(i, own_text(0) + "\n" + own_text(1), "en", "h", 1) for i in range(40)] + [(100 + i, own_text(100 + i), "en", "h", 1) for i in range(5)]
+    df = docs_df(spark, rows)
+    got = quality.line_frequency_rules(df, max_docs=max_docs, carry=["doc_id"]).collect()
+    assert len(got) == 45 and all(r.kept and r.n_removed_lines == 0 for r in got)
+    assert {r.doc_id: r.text for r in quality.cleaned_texts(df, max_docs=max_docs).collect()} == {r[0]: r[1] for r in rows}
+
+
 def test_quality_empty_and_clashing(spark):
     df = spark.createDataFrame([], DOCS + ", Kept int, n_words string, __row int")
     assert quality.line_frequency_rules(df).collect() == []
