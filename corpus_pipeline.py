@@ -47,8 +47,8 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All columns plus size, text_crc32, shard and slot."""
-    return sharding.shard_by_bytes(docs, N_SHARDS)
+    """All columns plus size, text_crc32, shard and slot, in a seeded shuffle order that keeps copies apart."""
+    return sharding.shard_by_bytes(docs, N_SHARDS, seed=MIX_SEED)
 
 
 STAGES = [

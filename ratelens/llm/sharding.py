@@ -5,7 +5,10 @@ task numbers its rows and sums its bytes, the per-partition totals (one row
 per partition) are prefix-summed and broadcast back, and each row's global
 byte offset is cut at equal targets: a row belongs to the shard in which the
 middle of its bytes lies, so shards are contiguous in id order and differ by
-at most about one document.  No task sees more than its own range; equal ids
+at most about one document.  With a seed the order is not the ids' but that
+of a hash of (seed, id, text checksum, size, number among equal ones), so
+shards are shuffled samples and the copies of a document lie apart, whatever
+the cluster and the order of the input.  No task sees more than its own range; equal ids
 are spread by the other sort keys.
 
 Edge cases: null text counts 1 byte (like an empty one); null ids sort
@@ -25,7 +28,7 @@ from pyspark.sql import types as T
 
 from .common import keep_others, quoted, written
 
-OUT = ["size", "text_crc32", "shard", "slot", "__pid", "__idx", "__before"]
+OUT = ["size", "text_crc32", "shard", "slot", "__order", "__pid", "__idx", "__before"]
 
 
 def row_sizes(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -69,16 +72,26 @@ def _local_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         rows, total = rows + len(size), total + int(size.sum())
 
 
-def shard_by_bytes(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """All columns of ``docs`` plus size, text_crc32, shard (0 .. n_shards-1) and slot (gapless from 0 in each shard)."""
-    return shard_sized(row_sizes(docs, text_col), n_shards, id_col)
+def shard_by_bytes(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int | None = None) -> DataFrame:
+    """All columns of ``docs`` plus size, text_crc32, shard (0 .. n_shards-1) and slot (gapless from 0 in each shard).
 
+    In id order, or shuffled by ``seed``.
+    """
+    sized = row_sizes(docs, text_col)
+    if seed is None:
+        return shard_sized(sized, n_shards, id_col)
+    same = [quoted(id_col), F.col("text_crc32"), F.col("size")]
+    number = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))  # one text's copies
+    keys = [F.coalesce(c.cast("string"), F.lit("")) for c in same]
+    order = F.md5(F.concat_ws(":", F.lit(f"shards{seed}"), *keys, number))
+    return shard_sized(sized.withColumn("__order", order), n_shards, id_col, ["__order"])
 
-def shard_sized(sized: DataFrame, n_shards: int, id_col: str = "doc_id") -> DataFrame:
-    """The same for rows that carry size and text_crc32 (the text itself need not travel)."""
+
+def shard_sized(sized: DataFrame, n_shards: int, id_col: str = "doc_id", before: list[str] | None = None) -> DataFrame:
+    """The same for rows that carry size and text_crc32 (the text itself need not travel), in order of ``before`` and the id."""
     if n_shards < 1:
         raise ValueError("n_shards must be at least 1")
-    local, offsets = global_prefix(sized, [id_col, "text_crc32", "size"])
+    local, offsets = global_prefix(sized, [*(before or []), id_col, "text_crc32", "size"])
     placed = (local.join(F.broadcast(offsets), "__pid")  # one row per partition
               .withColumn("__at", F.col("__bytes0") + F.col("__before"))
               .withColumn("__row", F.col("__rows0") + F.col("__idx"))

@@ -252,6 +252,23 @@ def test_toxicity_without_labels(spark):
 
 # ---- the pipeline
 
+def test_pipeline_shards_keep_the_mix_and_part_copies(spark):
+    import corpus_pipeline as cp
+    rows = [(i, f"text {i}", "en", f"s{i // 200}", 8) for i in range(600) for _ in range(3)] + [(None, None, None, None, None)] * 2
+    got = cp.shards(spark, spark.createDataFrame(rows, DOCS).repartition(4), SF01).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r[0] for r in rows) and set(got[0].asDict()) == {
+        "doc_id", "text", "lang", "source", "n_chars", "size", "text_crc32", "shard", "slot"}
+    place = {(r.shard, r.slot): r.doc_id for r in got}
+    assert len(place) == len(rows)
+    for s in range(cp.N_SHARDS):
+        mine = [r for r in got if r.shard == s]
+        assert sorted(r.slot for r in mine) == list(range(len(mine)))
+        assert all(45 <= n <= 105 for n in (sum(r.source == f"s{k}" for r in mine) for k in range(3)))  # 75 expected
+    assert sum(place.get((s, k + 1)) == d for (s, k), d in place.items()) < 10
+    again = cp.shards(spark, spark.createDataFrame(rows[::-1], DOCS).repartition(7), SF01).collect()
+    assert {(r.shard, r.slot): r.doc_id for r in again} == place
+
+
 def test_pipeline_stages_match_brute_force(spark):
     import corpus_pipeline as cp
     assert [n for n, _ in cp.STAGES] == ["language_id", "near_duplicates", "decontamination", "source_mix", "sharding"]
