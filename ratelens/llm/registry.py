@@ -24,5 +24,5 @@ def query(key: str, sql: str | None = None):
 
 
 def load_all() -> tuple[dict[str, Builder], dict[str, str]]:
-    from . import queries  # noqa: F401  (registers)
+    from . import queries, queries_repair  # noqa: F401  (register)
     return BUILDERS, SQL
