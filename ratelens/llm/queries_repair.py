@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import repair, spelling
+from . import pages, repair, spelling
 from .common import table
 from .registry import query
 
@@ -108,3 +108,9 @@ LEFT JOIN counted n ON n.conv = c.conv LEFT JOIN ends e ON e.conv = c.conv
 def op12_hirschberg_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations")
     return repair.repair_report(rows, repair.damaged(rows))
+
+
+@query("op11_wrapper_induction")
+def op11_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pages.extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", "text", "n_chars")
