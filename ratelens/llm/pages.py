@@ -93,7 +93,7 @@ PARAGRAPH, SHIELDS_P = _words("p"), _words("table td th button")
 COMMENT_WORDS = _words("comment comments commentlist disqus respond reply replies discussion responses review reviews guestbook")
 ASIDE_WORDS = _words("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion promoted "
                      "related recommended recommendations trending teaser teasers outbrain taboola")
-PART_WORDS = COMMENT_WORDS | ASIDE_WORDS | _words(
+PART_WORDS = _words(
     "nav navbar navigation menu menus breadcrumb breadcrumbs crumbs topbar toolbar tabs pager pagination skip masthead banner footer "
     "copyright colophon legal sidebar aside rail popular widget widgets cookie cookies consent gdpr notice notices notification alert "
     "alerts disclaimer popup modal overlay paywall toast announcement form search login signin signup register subscribe subscription "
@@ -114,7 +114,7 @@ _RAW_END = {tag: re.compile(rf"</{tag}(?=[\s/>]|\Z)", re.I) for tag in RAW}
 # ---- pages
 
 def named_kind(tag: str, attributes: str) -> tuple[str, str]:
-    """(first class or id word without digits, kind): kind x furniture by tag, y by name, h header, m article or main, or empty."""
+    """(first class or id word without digits, kind): x furniture by tag or role, z or y by name, h header, m article or main, or empty."""
     name, kind, words = "", "", []
     if attributes:
         found: dict[str, str] = {}
@@ -138,7 +138,9 @@ def named_kind(tag: str, attributes: str) -> tuple[str, str]:
     elif tag in ("html", "body", "main"):
         kind = "m" if tag == "main" else ""
     elif not kind:
-        if held & (COMMENT_WORDS | ASIDE_WORDS if tag == "article" else PART_WORDS):
+        if held & (COMMENT_WORDS | ASIDE_WORDS):
+            kind = "z"
+        elif held & PART_WORDS and tag != "article":
             kind = "y"
         elif tag == "article":
             kind = "m"
@@ -260,13 +262,30 @@ class Page:
 
 
 def furniture(parents: list[int], kinds: list[str], wrong: set[int] = frozenset()) -> list[str]:
-    """Kind x or y handed down the shape, or empty; a header is furniture outside articles; ``wrong``: nodes whose kind does not count."""
+    """Kind x, y or z handed down the shape, or empty; a header is furniture outside articles; ``wrong``: nodes whose kind does not count."""
     out, main = [""], [False]
     for k in range(1, len(parents)):
         up, kind = parents[k], "" if k in wrong else kinds[k]
         main.append(main[up] or kind == "m")
-        own = "y" if kind == "h" and not main[up] else kind if kind in ("x", "y") else ""
-        out.append("x" if "x" in (own, out[up]) else own or out[up])
+        own = "y" if kind == "h" and not main[up] else kind if kind in ("x", "y", "z") else ""
+        out.append(out[up] or own)
+    return out
+
+
+def misnamed(tags: list[str], parents: list[int], kinds: list[str]) -> set[int]:
+    """Named wrappers ("page popup-ready") of the only article there is: their names say nothing."""
+    part = furniture(parents, kinds)
+    articles = [n for n, kind in enumerate(kinds) if kind == "m"]
+    if any(not part[n] for n in articles):
+        return set()
+    out = set()
+    for n in articles:
+        path = []
+        while n > 0:
+            path.append(n)
+            n = parents[n]
+        if not any(kinds[k] in ("x", "z") for k in path):
+            out |= {k for k in path if kinds[k] in ("y", "h") and tags[k] in ("div", "section")}
     return out
 
 
@@ -453,20 +472,7 @@ def main_text(labels: list[str], parents: list[int], found: list[tuple[int, str]
     """The content blocks of one page; ``found``: (node, text) in page order."""
     tags = [x.split(".", 1)[0] for x in labels]
     kinds = [x.rsplit("/", 1)[-1] for x in labels]
-    plain = furniture(parents, kinds)
-    mass = [0] * len(labels)
-    main_mass = [0] * len(labels)
-    for node, text in found:
-        if plain[node] != "x":
-            under, k = False, node
-            while k >= 0:
-                mass[k] += len(text)
-                under = under or kinds[k] == "m"
-                main_mass[k] += len(text) if under else 0
-                k = parents[k]
-    # a name such as "page has-popup" on a node that holds the article itself says nothing
-    wrong = {k for k in range(len(labels)) if kinds[k] in ("y", "h") and tags[k] in ("div", "section") and 2 * main_mass[k] > mass[0]}
-    part = furniture(parents, kinds, wrong)
+    part = furniture(parents, kinds, misnamed(tags, parents, kinds))
     open_blocks = [k for k, (node, _) in enumerate(found) if not part[node] and slots[node] not in dense]
     kept = [k for k in open_blocks if (slots[found[k][0]], hashes[k]) not in fixed] or open_blocks
     total = sum(len(found[k][1]) for k in kept)

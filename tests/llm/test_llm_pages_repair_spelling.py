@@ -222,7 +222,7 @@ def test_repair_equals_sql(spark, monkeypatch, segment):
             for c in [*range(60), None] for t in rnd.sample([*range(14), None], 9)]
     rows += rows[:40]  # repeated rows
     rows += [(77, t, "user" if t % 2 else "assistant", f"turn {t}{'.' * (t % 5)}") for t in range(900)]  # a long one
-    df = spark.createDataFrame(rows, TURNS + "").withColumnRenamed("x", "y")
+    df = spark.createDataFrame(rows, TURNS)
     clash = df.selectExpr("*", "1 AS row", "2 AS seg", "'q' AS code")
     got = repair.repair_report(clash, repair.damaged(clash)).collect()
     want = by_sql(df, REPAIR_SQL, "conversations")
@@ -247,7 +247,7 @@ def test_repaired_rows_are_the_digests_rows(spark):
 def test_repair_of_nothing(spark):
     empty = spark.createDataFrame([], TURNS)
     assert repair.repair_report(empty, repair.damaged(empty)).collect() == []
-    one = spark.createDataFrame([(5, t, "user", "x") for t in range(40) if zlib.crc32(f"5:{t}".encode()) % 20 == 0], TURNS)
+    one = spark.createDataFrame([(5, t, "user", "x") for t in range(400) if zlib.crc32(f"5:{t}".encode()) % 20 == 0], TURNS)
     got = repair.repair_report(one, repair.damaged(one)).collect()
     assert [tuple(r) for r in got] == [(5, 0, 0, 0, 0, 0, 0, "", sha256(b"").hexdigest())]
 
@@ -272,7 +272,7 @@ def test_spelling_equals_sql(spark, cell, sample):
     rows += [(3, None), (4, ""), *rows[:5]]
     df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS word", "'n' AS n")
     got = sorted((tuple(r) for r in spelling.spelling_variants(df, cell=cell, sample=sample).collect()), key=repr)
-    want = by_sql(df.select("doc_id", "text").fillna({"doc_id": -1}) if False else df.select("doc_id", "text"), SPELLING_SQL, "documents")
+    want = by_sql(df.select("doc_id", "text"), SPELLING_SQL, "documents")
     assert got == want
     assert any(r[1] for r in got) and any(r[2] not in (r[0], r[1]) for r in got)
 
