@@ -270,6 +270,8 @@ def test_spelling_equals_sql(spark, cell, sample):
     rows = [(d, " ".join(rnd.choices(pool, freq, k=60)).title() + " - " + rnd.choice(["shorts", "ÀÈÌ×÷øþÿ", "Ωmegaword", "long" * 60]))
             for d in [*range(150), None]]
     rows += [(3, None), (4, ""), *rows[:5]]
+    for d, word, times, docs in ((1000, "abcdefghij", 40, 20), (2000, "abcdefghik", 20, 3), (3000, "abcdefgxik", 4, 1)):  # a path of two steps
+        rows += [(d + k, f"{word} " * times) for k in range(docs)]
     df = spark.createDataFrame(rows, DOCS).selectExpr("*", "1 AS word", "'n' AS n")
     got = sorted((tuple(r) for r in spelling.spelling_variants(df, cell=cell, sample=sample).collect()), key=repr)
     want = by_sql(df.select("doc_id", "text"), SPELLING_SQL, "documents")
