@@ -4,14 +4,15 @@
 Two interchangeable paths compute the item Gramian G = R^T R of the
 user x item residual matrix:
 
-* ``pairs``: self equi-join on the user -- exact, SQL-checkable, cost
-  sum_u deg(u)^2 pair rows;
-* ``gramian``: each task folds its users into a dense n x n block with
-  NumPy (one BLAS product per batch) and emits only the block's non-zero
-  cells, which a ``groupBy`` sums -- cost partitions x n^2, independent of
-  heavy users.  Items are the top-n popular ones, so n is a parameter bound.
-
-``auto`` picks the Gramian path for a bounded item set.
+* ``gramian`` (default): a tiled product for any number of items.  Items get
+  dense codes, cut into blocks of ``TILE``; a user's entries go to the tiles
+  (pairs of item blocks) that the user's items meet, and every task folds the
+  users of a tile into one dense TILE x TILE array with NumPy.  A ``groupBy``
+  sums the folds' co-rated cells.  No per-user item pairs are emitted, memory
+  is one tile whatever the number of items, and a tile with many users is dealt
+  to several tasks by a hash of the user.
+* ``pairs``: self equi-join on the user -- cost sum_u deg(u)^2 pair rows; kept
+  as the plain form the tests compare with.
 """
 
 from __future__ import annotations
@@ -27,8 +28,8 @@ from ..session import cut_lineage
 from .rank import global_row_number
 
 NBR = "neighbour_id"
-GRAMIAN_MAX_ITEMS = 2048      # dense n x n blocks of 32 MB at most (auto)
-GRAMIAN_HARD_MAX = 8192       # forced Gramian path: 512 MB blocks at most
+TILE = 2048                   # items of a block: a fold holds 2048 x 2048 sums and counts (48 MB)
+CODES_BROADCAST = 100_000     # code tables of at most so many items are broadcast (their rows are counted)
 FOLD_ENTRIES = 5_000_000      # residual entries per Gramian fold task
 SLICE_ROWS = 1 << 18          # rows of a fold's output frame
 
@@ -56,103 +57,129 @@ def _dots_pairs(res: DataFrame) -> DataFrame:
 HEAVY_DEGREE = 256  # users with more entries go through the dense product
 
 
-def _gramian_blocks(n: int, batch_users: int = 1024):
-    """Per task: G += B^T B (residual dot products) and C += I^T I (co-rating
-    counts) over whole users, rows arriving sorted by user (the last user of
-    an Arrow batch is carried into the next).  Light users add their d^2
-    cells with one vectorised ``bincount``; heavy users (d > HEAVY_DEGREE) go
-    through a dense BLAS product.  Emits the co-rated cells (C > 0)."""
-    def add(g, cnt, pdf):
-        users = pd.factorize(pdf["customer_id"])[0]  # sorted input: ascending
-        codes = pdf["item_code"].to_numpy().astype(np.int64)
-        vals = pdf["residual"].to_numpy(dtype=np.float64)
-        deg = np.bincount(users)
-        heavy_u = deg > HEAVY_DEGREE
-        light = ~heavy_u[users]
-        if light.any():
-            lu, lc, lv = users[light], codes[light], vals[light]
-            ldeg = deg[lu]
-            first = np.searchsorted(lu, lu)  # start of each entry's user run
-            left = np.repeat(np.arange(len(lu)), ldeg)
-            offs = np.arange(len(left)) - np.repeat(np.cumsum(ldeg) - ldeg, ldeg)
-            right = np.repeat(first, ldeg) + offs
-            cell = lc[left] * n + lc[right]
-            g += np.bincount(cell, weights=lv[left] * lv[right], minlength=n * n).reshape(n, n)
-            cnt += np.bincount(cell, minlength=n * n).reshape(n, n)
-        hu = np.nonzero(heavy_u)[0]
-        for start in range(0, len(hu), batch_users):
-            block = hu[start:start + batch_users]
-            pos = np.full(len(deg), -1)
-            pos[block] = np.arange(len(block))
-            m = pos[users] >= 0
-            dense = np.zeros((len(block), n))
-            mark = np.zeros((len(block), n))
-            np.add.at(dense, (pos[users[m]], codes[m]), vals[m])
-            mark[pos[users[m]], codes[m]] = 1.0
-            g += dense.T @ dense
-            cnt += mark.T @ mark
+def _pair_sums(g: np.ndarray, cnt: np.ndarray, users: np.ndarray, left: np.ndarray, right: np.ndarray, codes: np.ndarray,
+               vals: np.ndarray, batch_users: int = 1024) -> None:
+    """g += L^T R, cnt += co-ratings, over entries sorted by user (0 .. n-1); left, right: which entries belong to the tile's sides."""
+    n_users = int(users[-1]) + 1
+    lu, lc, lv = users[left], codes[left], vals[left]
+    ru, rc, rv = users[right], codes[right], vals[right]
+    ldeg, rdeg = np.bincount(lu, minlength=n_users), np.bincount(ru, minlength=n_users)
+    heavy = np.maximum(ldeg, rdeg) > HEAVY_DEGREE
+    light = ~heavy[lu]
+    if light.any():  # every left entry meets the right entries of its user
+        at = np.nonzero(light)[0]
+        times = rdeg[lu[at]]
+        i = np.repeat(at, times)
+        j = np.repeat(np.searchsorted(ru, lu[at]), times) + np.arange(len(i)) - np.repeat(np.cumsum(times) - times, times)
+        cell = lc[i] * g.shape[1] + rc[j]
+        hit, place = np.unique(cell, return_inverse=True) if len(cell) * 8 < g.size else (None, cell)
+        if hit is None:
+            g += np.bincount(cell, weights=lv[i] * rv[j], minlength=g.size).reshape(g.shape)
+            cnt += np.bincount(cell, minlength=g.size).reshape(g.shape).astype(cnt.dtype)
+        else:
+            g.ravel()[hit] += np.bincount(place, weights=lv[i] * rv[j])
+            cnt.ravel()[hit] += np.bincount(place).astype(cnt.dtype)
+    for start in range(0, int(heavy.sum()), batch_users):  # through dense products
+        some = np.nonzero(heavy)[0][start:start + batch_users]
+        place = np.full(n_users, -1)
+        place[some] = np.arange(len(some))
+        sides = []
+        for u, c, v, width in ((lu, lc, lv, g.shape[0]), (ru, rc, rv, g.shape[1])):
+            m = place[u] >= 0
+            dense, mark = np.zeros((len(some), width)), np.zeros((len(some), width), np.float32)
+            np.add.at(dense, (place[u[m]], c[m]), v[m])
+            mark[place[u[m]], c[m]] = 1.0
+            sides.append((dense, mark))
+        g += sides[0][0].T @ sides[1][0]
+        cnt += (sides[0][1].T @ sides[1][1]).astype(cnt.dtype)
+
+
+def _tile_folds(tile: int):
+    """Per task: entries sorted by (left, right, user) -> i, j, dot of each tile's co-rated cells (i <= j on the diagonal)."""
+    def add(g, cnt, run):
+        bi, bj = int(run["left"].iloc[0]), int(run["right"].iloc[0])
+        codes = run["item_code"].to_numpy().astype(np.int64)
+        block = codes // tile
+        users = pd.factorize(run["customer_id"])[0]
+        _pair_sums(g, cnt, users, block == bi, block == bj, codes % tile, run["residual"].to_numpy(dtype=np.float64))
+
+    def cells(key, g, cnt):
+        i, j = np.nonzero(np.triu(cnt) if key[0] == key[1] else cnt)
+        for at in range(0, len(i), SLICE_ROWS):
+            si, sj = i[at:at + SLICE_ROWS], j[at:at + SLICE_ROWS]
+            yield pd.DataFrame({"i": (si + key[0] * tile).astype(np.int32), "j": (sj + key[1] * tile).astype(np.int32), "dot": g[si, sj]})
 
     def fold(it):
-        g = np.zeros((n, n), dtype=np.float64)
-        cnt = np.zeros((n, n), dtype=np.float64)
-        carry = None
+        key, carry = None, None
+        g, cnt = np.zeros((tile, tile)), np.zeros((tile, tile), np.int32)
         for pdf in it:
-            if pdf.empty:
-                continue
             if carry is not None:
                 pdf = pd.concat([carry, pdf], ignore_index=True)
-            last = pdf["customer_id"].iloc[-1]
-            tail = pdf["customer_id"] == last
-            carry = pdf[tail]
-            if (~tail).any():
-                add(g, cnt, pdf[~tail].reset_index(drop=True))
-        if carry is not None and not carry.empty:
-            add(g, cnt, carry.reset_index(drop=True))
-        i, j = np.nonzero(np.triu(cnt))  # both products are symmetric
-        for at in range(0, len(i), SLICE_ROWS):
-            si, sj = i[at:at + SLICE_ROWS], j[at:at + SLICE_ROWS]
-            yield pd.DataFrame({"i": si.astype(np.int32), "j": sj.astype(np.int32), "dot": g[si, sj]})
+                carry = None
+            if pdf.empty:
+                continue
+            tiles = pdf["left"].to_numpy().astype(np.int64) << 32 | pdf["right"].to_numpy().astype(np.int64)
+            for run in np.split(np.arange(len(pdf)), np.nonzero(np.diff(tiles))[0] + 1):
+                part = pdf.iloc[run]
+                mine = (int(part["left"].iloc[0]), int(part["right"].iloc[0]))
+                if key is not None and mine != key:
+                    yield from cells(key, g, cnt)
+                    g[:], cnt[:] = 0, 0
+                key = mine
+                if run[-1] == len(pdf) - 1:  # the last user may go on in the next batch
+                    tail = (part["customer_id"] == part["customer_id"].iloc[-1]).to_numpy()
+                    carry, part = part[tail], part[~tail]
+                if len(part):
+                    add(g, cnt, part)
+        if carry is not None:
+            add(g, cnt, carry)
+        if key is not None:
+            yield from cells(key, g, cnt)
     return fold
 
 
-def _dots_gramian(res: DataFrame, codes: DataFrame, n_items: int, n_entries: int) -> DataFrame:
-    coded = res.join(F.broadcast(codes), MOVIE).select(CUSTOMER, "item_code", "residual")
-    # all of a user's entries in one task (a user has at most n_items entries);
-    # as few fold tasks as the entries need (every core one at least): the
-    # shuffle of partial blocks is tasks x n^2 / 2 cells
-    n_fold = max(res.sparkSession.sparkContext.defaultParallelism, -(-n_entries // FOLD_ENTRIES))
-    per_user = coded.repartition(n_fold, CUSTOMER).sortWithinPartitions(CUSTOMER)
-    blocks = per_user.mapInPandas(_gramian_blocks(n_items), "i int, j int, dot double")
-    half = blocks.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
+def _dots_tiled(res: DataFrame, codes: DataFrame, n_items: int, n_entries: int, tile: int) -> DataFrame:
+    few = n_items <= CODES_BROADCAST
+    coded = res.join(F.broadcast(codes) if few else codes, MOVIE).select(CUSTOMER, "item_code", "residual")
+    blocks = -(-n_items // tile)
+    if blocks > 1:
+        own = F.expr(f"item_code div {tile}").cast("int")
+        met = coded.groupBy(CUSTOMER).agg(F.collect_set(own).alias("met"))  # at most all blocks
+        sent = coded.join(met, CUSTOMER).select(CUSTOMER, "item_code", "residual", own.alias("own"), F.explode("met").alias("other"))
+        sent = sent.select(CUSTOMER, "item_code", "residual", F.least("own", "other").alias("left"), F.greatest("own", "other").alias("right"))
+    else:
+        sent = coded.select(CUSTOMER, "item_code", "residual", F.lit(0).alias("left"), F.lit(0).alias("right"))
+    # a tile's users are dealt to as many folds as the entries need (every core one at least): the shuffle of
+    # partial tiles is folds x co-rated cells
+    n_fold = max(res.sparkSession.sparkContext.defaultParallelism, -(-n_entries * blocks // FOLD_ENTRIES))
+    shares = max(1, -(-2 * n_fold // (blocks * (blocks + 1))))
+    deal = F.pmod(F.xxhash64(CUSTOMER), F.lit(shares))
+    per_user = sent.withColumn("deal", deal).repartition(n_fold, "left", "right", "deal").sortWithinPartitions("left", "right", CUSTOMER)
+    folds = per_user.drop("deal").mapInPandas(_tile_folds(min(tile, n_items)), "i int, j int, dot double")
+    half = folds.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
     summed = half.select(F.explode(F.expr(
         "if(i = j, array(struct(i, j, dot)), array(struct(i, j, dot), struct(j as i, i as j, dot)))")).alias("c")).select("c.*")
     ci = codes.select(F.col("item_code").alias("i"), F.col(MOVIE))
     cj = codes.select(F.col("item_code").alias("j"), F.col(MOVIE).alias(NBR))
-    return summed.join(F.broadcast(ci), "i").join(F.broadcast(cj), "j").select(MOVIE, NBR, "dot")
+    return summed.join(F.broadcast(ci) if few else ci, "i").join(F.broadcast(cj) if few else cj, "j").select(MOVIE, NBR, "dot")
 
 
-def item_cosine(res: DataFrame, method: str = "auto", stats: tuple[int, int] | None = None) -> DataFrame:
+def item_cosine(res: DataFrame, method: str = "auto", stats: tuple[int, int] | None = None, tile: int = TILE) -> DataFrame:
     """M6: cosine of item residual vectors for co-rated pairs (absent = 0),
     self pairs included.  Zero-norm items get similarity 0.
 
-    ``auto`` uses the Gramian path whenever the item set is at most
-    GRAMIAN_MAX_ITEMS (the popular-item list is 1,000 by construction), so
-    no per-user pair rows are ever emitted; larger item sets fall back to
-    the self-join.  ``stats`` = residual_stats(res) when already known.
+    ``auto`` and ``gramian``: the tiled product, for any number of items;
+    ``pairs``: the self-join.  ``stats`` = residual_stats(res) when already
+    known.
     """
     if method not in ("auto", "pairs", "gramian"):
         raise ValueError(method)
-    if method in ("auto", "gramian"):
-        n_entries, n_items = stats or residual_stats(res)
-        if method == "auto":
-            method = "gramian" if n_items <= GRAMIAN_MAX_ITEMS else "pairs"
-    if method == "gramian" and n_items > GRAMIAN_HARD_MAX:
-        raise ValueError(f"{n_items} items: dense {n_items}^2 blocks are too large; use method='pairs'")
     if method == "pairs":
         dots = _dots_pairs(res)
     else:
+        n_entries, n_items = stats or residual_stats(res)
         codes = cut_lineage(item_codes(res, n_items))  # one row per item, read three times
-        dots = _dots_gramian(res, codes, n_items, n_entries)
+        dots = _dots_tiled(res, codes, max(n_items, 1), n_entries, tile)
     norms = (dots.filter(F.col(MOVIE) == F.col(NBR))
              .select(MOVIE, F.sqrt("dot").alias("_ni")))
     nn = norms.select(F.col(MOVIE).alias(NBR), F.col("_ni").alias("_nj"))

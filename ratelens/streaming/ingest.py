@@ -35,7 +35,7 @@ def stream_rating_files(spark: SparkSession, src_dir: str, out_path: str, checkp
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         lines = batch.withColumn("pos", F.monotonically_increasing_id())  # static scan: ordered
-        parsed = to_ratings(parse_rating_sections(lines, mode), mode)
+        parsed = to_ratings(parse_rating_sections(lines, mode, ordered=True), mode)
         parsed.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     w = (_lines_stream(spark, src_dir, max_files_per_batch).writeStream

@@ -112,3 +112,37 @@ def test_gramian_heavy_and_light_users(spark):
         similarity.HEAVY_DEGREE = old
     a = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "pairs").collect()}
     assert set(a) == set(b) and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+
+
+@pytest.mark.parametrize("tile", [7, 32])
+def test_tiled_product_equals_the_pairs(spark, monkeypatch, tile):
+    """Items over several tiles, light and heavy users, a user with a third of the entries, small Arrow batches."""
+    from ratelens.operators import similarity
+    monkeypatch.setattr(similarity, "HEAVY_DEGREE", 10)
+    rnd = random.Random(tile)
+    res = [(u, 3 * i, rnd.uniform(-1, 1)) for u in range(60) for i in rnd.sample(range(90), 80 if u < 4 else 6)]
+    rdf = spark.createDataFrame(res, "customer_id long, movie_id long, residual double")
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        b = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "gramian", tile=tile).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+    a = {(r.movie_id, r.neighbour_id): r.sim for r in item_cosine(rdf, "pairs").collect()}
+    assert set(a) == set(b) and all(abs(a[k] - b[k]) < 1e-9 for k in a)
+    none = rdf.limit(0)
+    assert item_cosine(none).collect() == []
+
+
+def test_twenty_thousand_items(spark):
+    """Ten tiles a side; no limit on the number of items."""
+    from ratelens.operators import similarity
+    df = spark.range(400).selectExpr("id AS customer_id", "explode(sequence(0, 99)) AS k").selectExpr(
+        "customer_id", "pmod(xxhash64(customer_id, k), 20000) AS movie_id", "(pmod(hash(customer_id, k), 2000) - 1000) / 1000D AS residual")
+    df = df.unionByName(spark.range(20000).selectExpr("1000 + id AS customer_id", "id AS movie_id", "0.5D AS residual")).dropDuplicates(["customer_id", "movie_id"])
+    assert similarity.residual_stats(df)[1] == 20000
+    a, b = item_cosine(df, "pairs").cache(), item_cosine(df).cache()
+    assert a.count() == b.count()
+    off = a.join(b.withColumnRenamed("sim", "other"), ["movie_id", "neighbour_id"], "full").filter(
+        "other IS NULL OR sim IS NULL OR abs(sim - other) > 1e-9").count()
+    assert off == 0
