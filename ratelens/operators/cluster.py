@@ -1,23 +1,28 @@
 """Clustering on feature tables.
 
-Fits use ``pyspark.ml`` (distributed PCA covariance, k-means||, bisecting
-k-means); the feature table is cached across a sweep.  Assignment and
-inertia against given centroids are plain column expressions, so they are
-exact and SQL-checkable.
+PCA uses ``pyspark.ml`` (distributed covariance).  K-means runs all its models
+-- every k and every restart -- in shared scans: the centres of all models
+are sent to the tasks, one pass sums the points of every (model, cluster) in
+the tasks, and the few sums come back.  A fit of 80 models reads the points
+once per iteration, not 80 times.  Assignment and inertia against given
+centroids are plain column expressions, so they are exact and SQL-checkable.
 """
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-from typing import Sequence
+import math
+from dataclasses import dataclass
+from typing import Iterator, Sequence
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.scalar import label_map
+from ..session import cut_lineage
 
 
 def assemble(df: DataFrame, cols: Sequence[str], out: str = "features") -> DataFrame:
@@ -39,21 +44,102 @@ def pca(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str] = (), pr
                                             for j in range(k)])
 
 
+#: points that starting centres are drawn from (a hash share of all points, in one order everywhere)
+START_SAMPLE = 20_000
+
+
+def _plus_plus(points: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k-means++ starts: each next centre is the best of a few points drawn by squared distance."""
+    centres = [points[rng.integers(len(points))]]
+    near = ((points - centres[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        if near.sum() <= 0:  # fewer places than centres
+            centres.append(points[rng.integers(len(points))])
+            continue
+        tries = rng.choice(len(points), size=2 + int(math.log(k)), p=near / near.sum())
+        after = np.minimum(near[None], ((points[None] - points[tries][:, None]) ** 2).sum(axis=2))
+        best = int(after.sum(axis=1).argmin())
+        centres.append(points[tries[best]])
+        near = after[best]
+    return np.array(centres)
+
+
+def _sums(points: DataFrame, models: Sequence[np.ndarray]) -> list[tuple[np.ndarray, np.ndarray, float]]:
+    """(sums, counts, inertia) of every model's clusters in one pass over ``points`` (one array column)."""
+    d = models[0].shape[1]
+    starts = np.cumsum([0, *map(len, models)])
+    centres = np.concatenate(models)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(centres), d + 2))
+        for b in batches:
+            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            d2 = np.maximum((x ** 2).sum(axis=1)[:, None] - 2 * x @ centres.T + (centres ** 2).sum(axis=1)[None], 0)
+            for a, z in zip(starts, starts[1:]):
+                own = d2[:, a:z].argmin(axis=1)
+                for k in range(d):
+                    total[a:z, k] += np.bincount(own, weights=x[:, k], minlength=z - a)
+                total[a:z, d] += np.bincount(own, minlength=z - a)
+                total[a:z, d + 1] += np.bincount(own, weights=((x - centres[a + own]) ** 2).sum(axis=1), minlength=z - a)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(centres))), pa.array(list(total), pa.list_(pa.float64()))], names=["centre", "v"])
+
+    rows = (points.mapInArrow(run, "centre bigint, v array<double>").groupBy("centre")
+            .agg(*[F.sum(F.col("v")[k]).alias(f"v{k}") for k in range(d + 2)]).collect())  # one row per centre of the models
+    total = np.zeros((len(centres), d + 2))
+    for r in rows:
+        total[r[0]] = r[1:]
+    return [(total[a:z, :d], total[a:z, d], float(total[a:z, d + 1].sum())) for a, z in zip(starts, starts[1:])]
+
+
+def fit_many(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 42, n_init: int = 10,
+             max_iter: int = 300, tol: float = 1e-4) -> dict[int, tuple[np.ndarray, float]]:
+    """K -> (centres, inertia) of the best of ``n_init`` restarts; all models share every scan.
+
+    A model is done when its centres move by at most ``tol`` of the mean
+    variance; a cluster that loses its points keeps its centre.
+    """
+    points = cut_lineage(df.select(F.array(*[F.col(c).cast("double") for c in cols]).alias("x")))
+    n, *spread = points.agg(F.count(F.lit(1)), *[F.var_pop(F.col("x")[k]) for k in range(len(cols))]).first()
+    share = min(1.0, START_SAMPLE / max(n, 1))
+    sample = points.filter(F.crc32(F.array_join(F.col("x").cast("array<string>"), ",")) < int(share * 2 ** 32)).orderBy("x").limit(4 * START_SAMPLE).collect()
+    base = np.array([r.x for r in sample], float).reshape(-1, len(cols))
+    if not len(base):
+        raise ValueError("k-means needs points")
+    models = [(k, i) for k in ks for i in range(n_init)]
+    centres = {m: _plus_plus(base, m[0], np.random.default_rng([seed + m[1], m[0]])) for m in models}
+    stop = tol * float(np.mean([v or 0.0 for v in spread]))
+    moving = list(models)
+    for _ in range(max_iter):
+        found = _sums(points, [centres[m] for m in moving])
+        still = []
+        for m, (total, count, _) in zip(moving, found):
+            new = np.where(count[:, None] > 0, total / np.maximum(count, 1)[:, None], centres[m])
+            if ((new - centres[m]) ** 2).sum() > stop:
+                still.append(m)
+            centres[m] = new
+        moving = still
+        if not moving:
+            break
+    cost = {m: c for m, (_, _, c) in zip(models, _sums(points, [centres[m] for m in models]))}
+    best = {k: min(((k, i) for i in range(n_init)), key=lambda m: (cost[m], m[1])) for k in ks}
+    return {k: (centres[m], cost[m]) for k, m in best.items()}
+
+
+@dataclass
+class Centres:
+    """A fitted k-means model."""
+
+    values: np.ndarray
+
+    def clusterCenters(self) -> list[np.ndarray]:  # as pyspark.ml names it
+        return list(self.values)
+
+
 def fit_kmeans(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, n_init: int = 10,
-               max_iter: int = 300, parallelism: int = 8):
-    """Best-of-n_init k-means by training cost (inertia).  Restarts run
-    as concurrent Spark jobs over one cached feature table."""
-    x = assemble(df, cols).select("features").cache()
-    try:
-        def one(i):
-            m = KMeans(k=k, seed=seed + i, maxIter=max_iter, featuresCol="features").fit(x)
-            return m.summary.trainingCost, i, m
-        with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-            fits = list(ex.map(one, range(n_init)))
-    finally:
-        x.unpersist()
-    cost, _, model = min(fits, key=lambda t: (t[0], t[1]))
-    return model, cost
+               max_iter: int = 300):
+    """(model, inertia) of the best of ``n_init`` restarts."""
+    values, cost = fit_many(df, cols, [k], seed, n_init, max_iter)[k]
+    return Centres(values), cost
 
 
 def centroids_of(model) -> list[list[float]]:
@@ -95,18 +181,15 @@ def name_clusters(df: DataFrame, names: dict, col: str = "cluster", out: str = "
 
 def kmeans_sweep(df: DataFrame, cols: Sequence[str], ks: Sequence[int], seed: int = 42, n_init: int = 10,
                  silhouette_sample: int | None = None, id_col: str = "id") -> DataFrame:
-    """K, inertia, silhouette for each k (one cached input)."""
-    from .silhouette import silhouette
-    rows = []
-    base = df.cache()
-    try:
-        for k in ks:
-            model, cost = fit_kmeans(base, cols, k, seed, n_init)
-            lab = assign(base, cols, centroids_of(model))
-            s = silhouette(lab, cols, "cluster", id_col, sample_n=silhouette_sample, seed=seed)
-            rows.append((int(k), float(cost), s))
-    finally:
-        base.unpersist()
+    """K, inertia, silhouette for each k: shared scans for all fits, one pass of distances for all silhouettes."""
+    from .silhouette import silhouettes
+    base = cut_lineage(df)
+    fits = fit_many(base, cols, ks, seed, n_init)
+    labelled = base
+    for k in ks:
+        labelled = assign(labelled, cols, fits[k][0].tolist(), out=f"_k{k}")
+    scores = silhouettes(labelled, cols, [f"_k{k}" for k in ks], id_col, silhouette_sample, seed)
+    rows = [(int(k), float(fits[k][1]), s) for k, s in zip(ks, scores)]
     return df.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
 
 
@@ -126,7 +209,6 @@ def bisecting(df: DataFrame, cols: Sequence[str], k: int, seed: int = 42, out: s
     empty leaves on some inputs, so the loop is explicit.)  Labels are
     checkpointed after each split.
     """
-    from ..session import cut_lineage
     lab = cut_lineage(df.withColumn(out, F.lit(0)))
     for new_id in range(1, k):
         sse = lab.groupBy(out).agg(

@@ -9,21 +9,64 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MOVIE
-from .rank import global_row_number
+from ..session import cut_lineage
 
 # Up to this many rows a top-n by sort key is a TakeOrderedAndProject (each
-# task keeps n rows); beyond it the exact distributed rank is used.
+# task keeps n rows); beyond it the n-th hash is found and the rows filtered.
 TOPN_LIMIT = 100_000
+# A hash prefix with at most this many rows of a group is ranked row by row.
+PREFIX_ROWS = 50_000
+_DIGITS = 4  # hex digits by which the prefix grows: at most 65,536 counts a group and pass
 
 
 def seeded_hash(seed: int, keys: Sequence[str]) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
 
 
+def nth_hash(h: DataFrame, wanted: DataFrame, by: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The (_h, keys) of each group's ``_t``-th row in (_h, keys) order; ``wanted``: by, _t (at least 1, at most the group's rows).
+
+    Rows are counted by hash prefix; the prefix in which the wanted row lies
+    is known from the counts, and only its rows are counted by a longer one,
+    until few are left to rank.  No row is sorted, exchanged or written but
+    those few.
+    """
+    by = list(by)
+    left = cut_lineage(wanted.select(*by, "_t", F.lit("").alias("_p"), F.lit(0).cast("long").alias("_before")))
+
+    def inside(width: int) -> DataFrame:
+        side = F.broadcast(left.withColumnsRenamed({c: f"_on_{c}" for c in by}))  # one row per group
+        same = F.substring("_h", 1, width) == F.col("_p") if width else F.lit(True)
+        for c in by:
+            same = same & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+        return h.join(side, same).drop(*[f"_on_{c}" for c in by])
+
+    for width in range(_DIGITS, 33, _DIGITS):
+        counts = inside(width - _DIGITS).groupBy(*by, "_t", "_before", F.substring("_h", 1, width).alias("_q")).agg(F.count(F.lit(1)).alias("_n"))
+        upto = F.sum("_n").over(Window.partitionBy(*by).orderBy("_q")) + F.col("_before")
+        hit = counts.withColumn("_upto", upto).filter((F.col("_upto") >= F.col("_t")) & (F.col("_upto") - F.col("_n") < F.col("_t")))
+        left = cut_lineage(hit.select(*by, "_t", F.col("_q").alias("_p"), (F.col("_upto") - F.col("_n")).alias("_before"), "_n"))
+        if (left.agg(F.max("_n")).first()[0] or 0) <= PREFIX_ROWS:
+            break
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("_h", *keys)) + F.col("_before")
+    return inside(width).withColumn("_place", place).filter("_place = _t").select(*by, "_h", *keys)
+
+
+def up_to(h: DataFrame, last: DataFrame, by: Sequence[str], keys: Sequence[str], out: str) -> DataFrame:
+    """``h`` with ``out``: whether the row stands at or before its group's row in ``last`` (false for groups without one)."""
+    order = ["_h", *keys]
+    side = F.broadcast(last.withColumnsRenamed({c: f"_on_{c}" for c in [*by, *order]}))  # one row per group
+    same = F.lit(True)
+    for c in by:
+        same = same & F.col(c).eqNullSafe(F.col(f"_on_{c}"))
+    at = F.struct(*order) <= F.struct(*[F.col(f"_on_{c}").alias(c) for c in order])
+    return h.join(side, same, "left").withColumn(out, F.coalesce(at, F.lit(False))).drop(*[f"_on_{c}" for c in [*by, *order]])
+
+
 def first_n_by_hash(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:
     """Exactly ``min(n, rows)`` rows: those with the smallest seeded hash.
 
@@ -50,7 +93,10 @@ def first_n_by_hash(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> Da
     order = ["_h", *keys]
     if n <= TOPN_LIMIT:
         return cand.orderBy(*order).limit(n).drop("_h")
-    return global_row_number(cand, order, out="_rn").filter(F.col("_rn") <= n).drop("_h", "_rn")
+    cand = cut_lineage(cand.withColumn("_all", F.lit(0)))
+    wanted = df.sparkSession.range(1).select(F.lit(0).alias("_all"), F.lit(n).cast("long").alias("_t"))
+    last = nth_hash(cand, wanted, ["_all"], list(keys))
+    return up_to(cand, last, ["_all"], list(keys), "_in").filter("_in").drop("_h", "_all", "_in")
 
 
 def sample_rows(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> DataFrame:

@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..fixtures import views
 from ..functions.scalar import MOVIE_CLUSTER_NAMES, USER_CLUSTER_NAMES
-from ..operators.cluster import (assign, best_k, bisecting, centroids_of, fit_kmeans, inertia, kmeans_sweep,
+from ..operators.cluster import (assign, best_k, centroids_of, fit_kmeans, inertia, kmeans_sweep,
                                  name_clusters, pca)
 from ..operators.dbscan import core_points, dbscan, epsilon_pairs, n_clusters, n_outliers
 from ..operators.features import movie_features, standardise, user_features
+from ..operators.hierarchy import ward, ward_merges
 from ..operators.prep import enrich
 from ..operators.rfm import crosstab, crosstab_pct, rfm_with_cluster
 from ..operators.sampling import first_n_by_hash
@@ -320,9 +321,35 @@ def q_movie_kmeans_sweep(spark, sf_dir):
 
 @query("movie_hierarchical")
 def q_movie_hierarchical(spark, sf_dir):
-    """C12 re-aimed: bisecting k-means on the scaled item features, best k."""
+    """Ward's hierarchy of the scaled item features, cut at the best k."""
     ms, _, k, _ = _movie_models(spark, sf_dir)
-    return bisecting(ms, MOVIE_FEATURES, k, SEED).select(MOVIE, "cluster_hierarchical")
+    return ward(ms, MOVIE, MOVIE_FEATURES, k).select(MOVIE, "cluster_hierarchical")
+
+
+_WX = range(len(MOVIE_FEATURES))
+_WARD_SQL = with_views(
+    f"""SELECT a, b, size, round(height, 6) AS height FROM wc WHERE a IS NOT NULL""", *MF_CTES, MS_CTE,
+    ("wc", f"""SELECT 0 AS r, movie_id AS id, CAST(1 AS BIGINT) AS size, [{', '.join(MOVIE_FEATURES)}] AS x,
+       CAST(NULL AS BIGINT) AS a, CAST(NULL AS BIGINT) AS b, CAST(NULL AS DOUBLE) AS height FROM ms
+UNION ALL
+(WITH cur AS (SELECT r, id, size, x FROM wc WHERE a IS NULL),
+far AS (SELECT p.id, q.id AS near, 2.0 * p.size * q.size / (p.size + q.size) * ({' + '.join(f"power(p.x[{k + 1}] - q.x[{k + 1}], 2)" for k in _WX)}) AS w
+        FROM cur p JOIN cur q ON p.id <> q.id),
+least AS (SELECT id, arg_min(near, {{'w': w, 'lo': least(id, near), 'hi': greatest(id, near)}}) AS near, min(w) AS w FROM far GROUP BY id),
+pairs AS (SELECT p.id AS a, p.near AS b, p.w FROM least p JOIN least q ON q.id = p.near AND q.near = p.id WHERE p.id < p.near),
+made AS (SELECT c.r + 1 AS r, c.id, c.size + d.size AS size,
+                [{', '.join(f"(c.x[{k + 1}] * c.size + d.x[{k + 1}] * d.size) / (c.size + d.size)" for k in _WX)}] AS x, pairs.b, pairs.w
+         FROM pairs JOIN cur c ON c.id = pairs.a JOIN cur d ON d.id = pairs.b)
+SELECT r, id, size, x, NULL, NULL, NULL FROM made
+UNION ALL SELECT r, id, size, x, id, b, sqrt(w) FROM made
+UNION ALL SELECT r + 1, id, size, x, NULL, NULL, NULL FROM cur
+          WHERE id NOT IN (SELECT a FROM pairs) AND id NOT IN (SELECT b FROM pairs) AND EXISTS (SELECT 1 FROM pairs))"""))
+
+
+@query("movie_ward_merges", "WITH RECURSIVE" + _WARD_SQL[4:], check="R")
+def q_movie_ward_merges(spark, sf_dir):
+    """Every merge of the item hierarchy: b joins a at a height."""
+    return round_doubles(ward_merges(movie_scaled_df(spark, sf_dir), MOVIE, MOVIE_FEATURES))
 
 
 @query("algorithm_comparison")
@@ -330,7 +357,7 @@ def q_algorithm_comparison(spark, sf_dir):
     """Method, n_clusters, silhouette (4 dp; null below 2 clusters),
     silhouettes on the scaled item features without noise points."""
     ms, _, k, km = _movie_models(spark, sf_dir)
-    hier = bisecting(ms, MOVIE_FEATURES, k, SEED)
+    hier = ward(ms, MOVIE, MOVIE_FEATURES, k)
     db = dbscan(ms, MOVIE, MOVIE_FEATURES, *DBSCAN_WIDE).select(MOVIE, "cluster")
     rows = []
     for method, lab in [("K-Means", km.select(MOVIE, "cluster")),

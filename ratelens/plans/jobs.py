@@ -14,11 +14,12 @@ from ..errors import FeatureBuildError
 from ..functions.scalar import MOVIE_CLUSTER_NAMES, USER_CLUSTER_NAMES
 from ..operators.churn import churn_dataset, require_rows
 from ..operators.classify import fit_classifier, score, stratified_split
-from ..operators.cluster import assign, best_k, bisecting, centroids_of, fit_kmeans, kmeans_sweep, name_clusters, pca
+from ..operators.cluster import assign, best_k, centroids_of, fit_kmeans, kmeans_sweep, name_clusters, pca
 from ..operators.dbscan import dbscan
 from ..operators.eda import date_range, describe_long, head, shape, value_counts
-from ..operators.factorization import MF_GRID, NMF_GRID, fit_mf, fit_nmf, tune
+from ..operators.factorization import MF_GRID, NMF_GRID, fit_joint, fit_nmf, tune
 from ..operators.features import movie_features, standardise, user_features
+from ..operators.hierarchy import ward
 from ..operators.metrics import classification_metrics, roc_auc, roc_points
 from ..operators.prep import enrich, normalise
 from ..operators.recommend import (blend, fit_bias, popular_item_ratings, probe_with_ratings, residuals, rmse,
@@ -126,9 +127,9 @@ def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame
     rows.append(("Global-mean baseline", rmse(probe_rows.withColumn("prediction", bias.mu))))
     rows.append(("User+Movie bias", rmse(bias.predict(probe_rows))))
     best, ns.mf_grid = tune(train, False, MF_GRID, p.tune_sample_n, seed=p.seed)
-    mf = fit_mf(train, int(best["rank"]), float(best["regParam"]), int(best["maxIter"]), p.seed)
+    mf = fit_joint(train, int(best["rank"]), float(best["regParam"]), int(best["maxIter"]), p.seed)
     mf_probe = mf.predict(probe_rows)
-    rows.append(("MF (ALS on bias residual)", rmse(mf_probe)))
+    rows.append(("MF (biases and factors)", rmse(mf_probe)))
     if p.run_nmf:
         nbest, ns.nmf_grid = tune(train, True, NMF_GRID, p.tune_sample_n, seed=p.seed)
         nmf = fit_nmf(train, int(nbest["rank"]), float(nbest["regParam"]), int(nbest["maxIter"]), p.seed)
@@ -150,7 +151,7 @@ def run_recommendation(spark: SparkSession, ratings: DataFrame, probe: DataFrame
     if paths is not None:
         tables.write_table(train, paths.train)
         tables.write_table(probe_rows, paths.probe_rows)
-        tables.save_als(mf.als, paths.mf_model)
+        tables.save_factors(mf, paths.mf_model)
         if p.run_nmf:
             tables.save_als(nmf.als, paths.nmf_model)
         tables.write_csv(ns.ladder, paths._p("probe_rmse.csv"))
@@ -210,7 +211,7 @@ def run_clustering(ratings: DataFrame, titles: DataFrame, p: ClusterParams,
     ms = cut_lineage(standardise(movie_features(enrich(ratings, titles)), MOVIE_FEATURES, keep=[MOVIE]))
     ns.movie_sweep, km, k = _best_clusters(cut_lineage(pca(ms, MOVIE_FEATURES, 3, keep=[MOVIE])), MOVIE, p.movie_ks,
                                            MOVIE_CLUSTER_NAMES, p.seed)
-    hier = bisecting(ms, MOVIE_FEATURES, k, p.seed).select(MOVIE, "cluster_hierarchical")
+    hier = ward(ms, MOVIE, MOVIE_FEATURES, k).select(MOVIE, "cluster_hierarchical")
     db = dbscan(ms, MOVIE, MOVIE_FEATURES, p.movie_eps, p.movie_min_samples).select(MOVIE, F.col("cluster").alias("cluster_dbscan"))
     flat = pca(ms, MOVIE_FEATURES, 2, keep=[MOVIE]).select(MOVIE, F.col("pc1").alias("x"), F.col("pc2").alias("y"))
     ns.movies = cut_lineage(km.select(MOVIE, "cluster", "cluster_name").join(hier, MOVIE).join(db, MOVIE).join(flat, MOVIE))

@@ -126,7 +126,7 @@ def test_clustering_then_rfm_job_read_back(spark, tmp_dir):
 def test_recommendation_job_writes_tables_and_models(spark, tmp_dir):
     from ratelens.fixtures import views
     from ratelens.plans import jobs
-    from ratelens.sources.tables import RunPaths, load_als
+    from ratelens.sources.tables import RunPaths, load_als, load_factors
     v = views(spark, SF001)
     paths = RunPaths(tmp_dir, "run2")
     old = jobs.MF_GRID, jobs.NMF_GRID
@@ -137,4 +137,6 @@ def test_recommendation_job_writes_tables_and_models(spark, tmp_dir):
         jobs.MF_GRID, jobs.NMF_GRID = old
     assert spark.read.parquet(paths.train).count() == ns.train.count()
     assert spark.read.parquet(paths.probe_rows).count() == ns.probe_rows.count()
-    assert load_als(paths.mf_model).rank == load_als(paths.nmf_model).rank == 3
+    assert load_als(paths.nmf_model).rank == 3
+    mf = load_factors(spark, paths.mf_model)
+    assert {len(r.factors) for r in mf.items.collect()} == {3} and mf.predict(ns.probe_rows).count() == ns.probe_rows.count()
