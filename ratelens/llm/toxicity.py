@@ -127,14 +127,15 @@ def strength(log_odds: float, toxic_share: float) -> int:
 
 
 def _labelled(docs: DataFrame, labels: DataFrame, train: Column, id_col: str, label_col: str, text_col: str) -> DataFrame:
-    """text, toxic (0/1) of the labelled training documents; the labels are a bounded sample and broadcast."""
+    """text, toxic (0/1), seed (hash of the id) of the labelled training documents; the labels are a bounded sample and broadcast."""
     known = (labels.select(quoted(id_col).alias("__id"), (quoted(label_col) > 0).cast("int").alias("__y"))
              .filter("__id is not null and __y is not null").groupBy("__id").agg(F.max("__y").alias("toxic")))
     n = known.count()
     if n > MAX_LABELLED:
         known = known.filter(uniform(SEED, F.col("__id")) < 0.98 * MAX_LABELLED / n)
     texts = docs.filter(train).select(quoted(id_col).alias("__id"), quoted(text_col).cast("string").alias("text"))
-    return texts.join(F.broadcast(known), "__id").select("text", "toxic").filter("text is not null")
+    return (texts.join(F.broadcast(known), "__id").filter("text is not null")
+            .select("text", "toxic", F.crc32(F.col("__id").cast("string")).alias("seed")))
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,14 +196,15 @@ def _windows(lexicon: dict[bytes, int]):
         table = Classes(lexicon)
         for b, texts in blocks(batches, 0):
             rows = []
-            for text, y in zip(texts, b.column(1).to_pylist()):
+            for text, y, seed in zip(texts, b.column(1).to_pylist(), b.column(2).to_pylist()):
                 classes = table.of(words_of(text))
+                whole = zlib.crc32(text, seed)
                 for at in range(0, len(classes), WINDOW):
                     part = classes[at:at + WINDOW]
                     if len(part) < WINDOW and at:
                         part = classes[-WINDOW:]
                     part = part + [0] * (WINDOW - len(part))
-                    h = zlib.crc32(text[:4096], at)
+                    h = zlib.crc32(at.to_bytes(8, "little"), whole)
                     if any(part):
                         rows.append((h, 1.0, part, [int(bool(y and c)) for c in part]))
                     elif h % NEUTRAL_EVERY == 0:

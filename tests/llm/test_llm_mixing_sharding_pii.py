@@ -200,3 +200,11 @@ def test_pii_empty_table_and_clashing_column(spark):
     df = spark.createDataFrame([], "doc_id bigint, text string, SPANS int, __text int")
     out = pii.find_pii(df)
     assert out.collect() == [] and out.columns == ["doc_id", "text", "spans"]
+
+
+def test_pii_context_is_whole_words_on_both_sides(spark):
+    texts = ["trip 10.2.3.4 done", "our ip 10.2.3.4 done", "hotel +49 30 1234567 x", "tel +49 30 1234567 x", "4111111111111111 is my card",
+             "4111111111111111 is my cardboard", "card: 4111111111111111, 4111111111111111", "card " + "y" * 60 + " 4111111111111111"]
+    got = pii.find_pii(docs_df(spark, [(i, t, "", "", 1) for i, t in enumerate(texts)])).collect()
+    score = {r.doc_id: [round(s.score, 2) for s in r.spans if s.kind in ("ip", "card", "phone")] for r in got}
+    assert score == {0: [0.5], 1: [0.7], 2: [0.5], 3: [0.7], 4: [0.9], 5: [0.7], 6: [0.9, 0.9], 7: [0.7]}

@@ -312,3 +312,39 @@ def test_pipeline_stages_match_brute_force(spark):
     for _, stage in cp.STAGES:
         assert stage(spark, docs.limit(0), SF01).collect() == []
     assert sharding.OUT
+
+
+def test_pipeline_keeps_columns_named_like_an_operators(spark):
+    import corpus_pipeline as cp
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").limit(120)
+    names = ["lang_pred", "score", "simhash", "component_id", "is_first", "first", "n_words", "n_hit", "items", "contaminated", "copies", "copy",
+             "shuffle_key", "size", "text_crc32", "shard", "slot", "__row", "__order", "a.b", "Score2"]
+    own = docs.select("*", *[F.concat(F.lit(f"{n}:"), F.col("doc_id")).alias(n) for n in names])
+    plain, mine = docs, own
+    for name, stage in cp.STAGES:
+        plain, mine = stage(spark, plain, SF01), stage(spark, mine, SF01)
+        if name == "sharding":
+            names = [f"own_{n}" if n in cp.ADDED else n for n in names]
+        else:
+            assert mine.columns == own.columns
+        got = mine.collect()
+        assert got and sorted(map(tuple, mine.select(plain.columns).collect()), key=repr) == sorted(map(tuple, plain.collect()), key=repr)
+        for r in got:
+            for n in names:
+                assert r[n] == f"{n.removeprefix('own_')}:{r.doc_id}"
+        plain, mine = (spark.createDataFrame(x.collect(), x.schema) for x in (plain, mine))
+
+
+def test_windows_of_texts_with_one_beginning_are_drawn_apart():
+    """The training sample's hash sees the whole text and the document."""
+    import pyarrow as pa
+    shared = b"same header words " * 400
+    texts = [shared + b"neutral tail %d " % k * 40 for k in range(300)]
+
+    def drawn(texts, seeds):
+        batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.binary()), pa.array([0] * len(texts)), pa.array(seeds, pa.int64())], names=["text", "toxic", "seed"])
+        return sum(b.num_rows for b in toxicity._windows({b"absent": 1})(iter([batch])))
+    one = drawn(texts[:1], [5])
+    n = sum(drawn([t], [k]) > 0 for k, t in enumerate(texts))
+    assert 0 < n  # windows of the shared beginning do not all enter or leave together
+    assert len({drawn([t], [k]) for k, t in enumerate(texts)}) > 1 and len({drawn(texts[:1], [k]) for k in range(100)}) > 1 and one >= 0
