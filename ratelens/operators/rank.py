@@ -16,7 +16,7 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -36,12 +36,19 @@ def _sort_cols(order: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc() if a else F.col(c).desc() for c, a in order]
 
 
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """``df`` written to the checkpoint folder, and its rows counted while they are written."""
+    seen = Observation()
+    df = cut_lineage(df.observe(seen, F.count(F.lit(1)).alias("n")))
+    return df, seen.get["n"]
+
+
 def join_counted(df: DataFrame, small: DataFrame, on: Sequence[str]) -> DataFrame:
     """Null-safe inner join with a side that is broadcast if its counted rows are few."""
-    small = cut_lineage(small)
+    small, n = _counted(small)
     names = {c: f"_on_{c}" for c in on}
     side = small.withColumnsRenamed(names)
-    if small.count() <= BROADCAST_ROWS:
+    if n <= BROADCAST_ROWS:
         side = F.broadcast(side)
     cond = F.lit(True)
     for c in on:
@@ -53,8 +60,7 @@ def bucketize(df: DataFrame, order, n_rows: int | None = None, rows_per_bucket:
               bucket_col: str = "_bkt") -> tuple[DataFrame, int]:
     """(rows with a range number that is monotone in ``order``, number of ranges)."""
     if n_rows is None:
-        df = cut_lineage(df)  # counted, then cut into ranges
-        n_rows = df.count()
+        df, n_rows = _counted(df)  # then cut into ranges
     n = max(1, math.ceil(n_rows / (rows_per_bucket or ROWS_PER_BUCKET)))
     if n == 1:
         return df.withColumn(bucket_col, F.lit(0)), 1

@@ -18,6 +18,8 @@ from ..session import cut_lineage
 # Up to this many rows a top-n by sort key is a TakeOrderedAndProject (each
 # task keeps n rows); beyond it the n-th hash is found and the rows filtered.
 TOPN_LIMIT = 100_000
+# So few rows are kept by every task without a threshold first.
+DIRECT_ROWS = 100
 # A hash prefix with at most this many rows of a group is ranked row by row.
 PREFIX_ROWS = 50_000
 _DIGITS = 4  # hex digits by which the prefix grows: at most 65,536 counts a group and pass
@@ -74,9 +76,12 @@ def first_n_by_hash(df: DataFrame, n: int, seed: int, keys: Sequence[str]) -> Da
     threshold of about 1.25 n / N are a superset of the answer; every other
     row sorts after every candidate, so taking the n smallest candidates is
     exact.  The threshold doubles until at least n rows pass.  The final
-    top-n therefore merges about 1.25 n rows, not n rows per partition.
+    top-n therefore merges about 1.25 n rows, not n rows per partition
+    (up to ``DIRECT_ROWS`` rows are simply kept by every task).
     """
     h = df.withColumn("_h", seeded_hash(seed, keys))
+    if n <= min(DIRECT_ROWS, TOPN_LIMIT):
+        return h.orderBy("_h", *keys).limit(n).drop("_h")
     total = h.count()
     if n >= total:
         return df

@@ -397,6 +397,14 @@ def q_movie_clusters(spark, sf_dir):
     return name_clusters(assign(ms, MOVIE_FEATURES, cents), MOVIE_CLUSTER_NAMES).select(MOVIE, "cluster", "cluster_name")
 
 
+@query("movie_display_points")
+def q_movie_display_points(spark, sf_dir):
+    """C16 (items): 2-D display coordinates (PCA-2 of the scaled item features) with the cluster of ``movie_clusters``."""
+    ms = cut_lineage(movie_scaled_df(spark, sf_dir))
+    flat = pca(ms, MOVIE_FEATURES, 2, keep=[MOVIE]).select(MOVIE, F.col("pc1").alias("x"), F.col("pc2").alias("y"))
+    return flat.join(q_movie_clusters(spark, sf_dir), MOVIE)
+
+
 # ---- invariants of the fitted models, computed on both sides ---------------
 
 @query("user_pca_norms", with_views(

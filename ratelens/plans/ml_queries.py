@@ -205,3 +205,22 @@ def q_nmf_prediction_bounds(spark, sf_dir):
     """M3: the same for the non-negative model."""
     p = pipeline(spark, sf_dir)
     return _bounded(fit_nmf(p.train, seed=SEED).predict(p.probe_rows.select(CUSTOMER, MOVIE, RATING)), p.train)
+
+
+_SOLVED_RANK, _SOLVED_REG = 4, 0.1
+
+
+@query("mf_normal_equations", rsql("SELECT customer_id, count(*) AS n, true AS solved FROM train GROUP BY customer_id"))
+def q_mf_normal_equations(spark, sf_dir):
+    """M3's solver (unconstrained): every user's factors solve the ridge equations of the final item factors."""
+    train = pipeline(spark, sf_dir).train.select(CUSTOMER, MOVIE, RATING)
+    model = fit_mf(train, _SOLVED_RANK, _SOLVED_REG, 3, SEED)
+    res = model.bias.predict(train, "_base").select(CUSTOMER, MOVIE, (F.col(RATING) - F.col("_base")).alias("r"))
+    u = model.als.userFactors.select(F.col("id").cast("bigint").alias(CUSTOMER), F.col("features").alias("u"))
+    v = model.als.itemFactors.select(F.col("id").cast("bigint").alias(MOVIE), F.col("features").alias("v"))
+    rows = res.join(v, MOVIE).join(u, CUSTOMER)
+    dot = sum((F.col("u")[k].cast("double") * F.col("v")[k] for k in range(_SOLVED_RANK)), F.lit(0.0))
+    rows = rows.withColumn("e", F.col("r") - dot)
+    n = F.count(F.lit(1))
+    left = [F.sum(F.col("e") * F.col("v")[k]) - F.lit(_SOLVED_REG) * n * F.first("u")[k] for k in range(_SOLVED_RANK)]
+    return rows.groupBy(CUSTOMER).agg(n.alias("n"), (F.greatest(*[F.abs(x) for x in left]) < 1e-3 * n).alias("solved"))
