@@ -9,7 +9,8 @@ at most about one document.  With a seed the order is not the ids' but that
 of a hash of (seed, id, text checksum, size, number among equal ones), so
 shards are shuffled samples and the copies of a document lie apart, whatever
 the cluster and the order of the input.  No task sees more than its own range; equal ids
-are spread by the other sort keys.
+are spread by the other sort keys.  The places are found from (id, text
+checksum, size) alone; the texts are shuffled once, to their places.
 
 Edge cases: null text counts 1 byte (like an empty one); null ids sort
 first; repeated rows are separate rows; an empty table gives no rows; input
@@ -22,7 +23,7 @@ from typing import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -75,16 +76,33 @@ def _local_prefix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def shard_by_bytes(docs: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", seed: int | None = None) -> DataFrame:
     """All columns of ``docs`` plus size, text_crc32, shard (0 .. n_shards-1) and slot (gapless from 0 in each shard).
 
-    In id order, or shuffled by ``seed``.
+    In id order, or shuffled by ``seed``.  ``docs`` is read twice, so it should be a table that reads the same again.
     """
     sized = row_sizes(docs, text_col)
-    if seed is None:
-        return shard_sized(sized, n_shards, id_col)
     same = [quoted(id_col), F.col("text_crc32"), F.col("size")]
+    narrow = sized.select(*same)
+    if seed is None:
+        return _with_places(sized, shard_sized(narrow, n_shards, id_col), same)
     number = F.row_number().over(Window.partitionBy(*same).orderBy(F.lit(0)))  # one text's copies
     keys = [F.coalesce(c.cast("string"), F.lit("")) for c in same]
     order = F.md5(F.concat_ws(":", F.lit(f"shards{seed}"), *keys, number))
-    return shard_sized(sized.withColumn("__order", order), n_shards, id_col, ["__order"])
+    return _with_places(sized, shard_sized(narrow.withColumn("__order", order), n_shards, id_col, ["__order"]), same)
+
+
+def _with_places(sized: DataFrame, places: DataFrame, same: list[Column]) -> DataFrame:
+    """Rows of ``sized`` with the shard and slot of the row of ``places`` that has the same key and number among equal keys.
+
+    Both have each key equally often.  A join would shuffle the texts for the numbers and again for the keys with
+    numbers; sorted together by key and number, every row follows its place, after one shuffle.
+    """
+    cols = keep_others(sized, ["shard", "slot", "__place", "__is_row", "__number"])
+    place = F.struct(F.col("shard"), F.col("slot")).alias("__place")
+    rows = sized.select(*[quoted(c) for c in cols]).withColumn("__is_row", F.lit(True))
+    both = rows.unionByName(places.select(*same, place, F.lit(False).alias("__is_row")), allowMissingColumns=True).repartition(*same)
+    number = F.row_number().over(Window.partitionBy(*same, "__is_row").orderBy(F.lit(0)))
+    before = F.lag("__place").over(Window.partitionBy(*same).orderBy("__number", "__is_row"))
+    return (both.withColumn("__number", number).withColumn("__place", before).filter("__is_row")
+            .select(*[quoted(c) for c in cols], "__place.shard", "__place.slot"))
 
 
 def shard_sized(sized: DataFrame, n_shards: int, id_col: str = "doc_id", before: list[str] | None = None) -> DataFrame:

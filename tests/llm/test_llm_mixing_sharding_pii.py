@@ -116,6 +116,26 @@ def test_shards_edge_cases(spark):
         sharding.shard_by_bytes(df, 0)
 
 
+@pytest.mark.parametrize("seed", [None, 3])
+def test_shards_move_texts_once_and_not_through_python(spark, monkeypatch, seed):
+    rows = [(None if i % 11 == 0 else i % 40, None if i % 9 == 0 else "w" * (i % 13), i) for i in range(400)]
+    rows += [(7, "copy", 1000)] * 60
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, own int")
+    kept, write = [], sharding.written
+    monkeypatch.setattr(sharding, "written", lambda df, name: (kept.append(df.columns), write(df, name))[1])
+    out = sharding.shard_by_bytes(docs, 4, seed=seed)
+    assert kept and not any({"text", "own"} & set(c) for c in kept)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("RepartitionByExpression") == 1
+    got = out.collect()
+    assert sorted((str(r.doc_id), str(r.text), r.own) for r in got) == sorted((str(a), str(b), c) for a, b, c in rows)
+    assert all(r.size == len(r.text or "") + 1 for r in got)
+    for k in range(4):
+        assert sorted(r.slot for r in got if r.shard == k) == list(range(sum(r.shard == k for r in got)))
+    half = sum(r.size for r in got) / 4
+    assert all(abs(sum(r.size for r in got if r.shard == k) - half) <= 14 for k in range(4))
+
+
 def test_number_rows(spark):
     df = spark.createDataFrame([(x * 7 % 50,) for x in range(50)], "k bigint").repartition(7)
     assert sorted((r.k, r.row) for r in sharding.number_rows(df, ["k"]).collect()) == [(i, i) for i in range(50)]
